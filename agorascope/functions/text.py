@@ -15,6 +15,8 @@ from operator import or_
 
 from pyspark.sql import Column, functions as F
 
+from .binding import let
+
 Term = str | dict[str, str]
 
 WORD_START = "(?<![a-z0-9_])"
@@ -27,27 +29,34 @@ def quote(literal: str) -> str:
     return re.sub(r"([\\.^$|?*+()\[\]{}])", r"\\\1", literal)
 
 
-def term_pattern(term: Term, word: bool = False) -> str:
-    body = term["re"] if isinstance(term, dict) else quote(term.lower())
-    return f"{WORD_START}(?:{body}){WORD_END}" if word else body
+def word_pattern(terms: Sequence[Term]) -> str:
+    """Word-bounded pattern for any of the terms; the boundary test is shared by all of them."""
+    return f"{WORD_START}(?:{alternation(terms)}){WORD_END}"
+
 
+def alternation(terms: Sequence[Term]) -> str:
+    return "|".join(t["re"] if isinstance(t, dict) else quote(t.lower()) for t in terms)
 
-def alternation(terms: Sequence[Term], word: bool = False) -> str:
-    """One case-insensitive pattern for all terms."""
-    return "(?i)(?:" + "|".join(term_pattern(t, word) for t in terms) + ")"
+
+def _contains_any(lowered: Column, literals: Sequence[str]) -> Column:
+    return reduce(or_, [F.contains(lowered, F.lit(t.lower())) for t in literals])
 
 
 def mentions(lowered: Column, terms: Sequence[Term], word: bool = False) -> Column:
     """True where any term occurs.
 
-    Plain substrings use ``contains``, which is a byte search inside generated code; only
-    patterns and word-bounded terms go through the regular expression engine, as one pattern.
+    Plain substrings use ``contains``, a byte search inside generated code that costs next to
+    nothing. Patterns go through the regular expression engine, all in one. So do word-bounded
+    literals, but only in texts that contain one of them at all.
     """
-    literal = [] if word else [t for t in terms if isinstance(t, str)]
-    pattern = [t for t in terms if word or isinstance(t, dict)]
-    tests = [F.contains(lowered, F.lit(t.lower())) for t in literal]
-    if pattern:
-        tests.append(F.rlike(lowered, F.lit(alternation(pattern, word))))
+    literals = [t for t in terms if isinstance(t, str)]
+    patterns = [t for t in terms if isinstance(t, dict)]
+    tests = []
+    if literals:
+        found = _contains_any(lowered, literals)
+        tests.append(found & F.rlike(lowered, F.lit(word_pattern(literals))) if word else found)
+    if patterns:
+        tests.append(F.rlike(lowered, F.lit(word_pattern(patterns) if word else alternation(patterns))))
     return reduce(or_, tests)
 
 
@@ -61,12 +70,20 @@ def distinct_term_hits(lowered: Column, terms: Sequence[str], word: bool = False
 
 def occurrences(lowered: Column, term: Term, word: bool = False) -> Column:
     """Non-overlapping occurrences of a term in one text."""
-    if isinstance(term, str) and not word:
+    if isinstance(term, dict):
+        count = F.regexp_count(lowered, F.lit(word_pattern([term]) if word else term["re"]))
+    elif word:
+        # The term first, then a look back over it: the engine then searches for its characters
+        # instead of testing a boundary at every position.
+        literal = quote(term.lower())
+        behind = WORD_START[:-1] + literal + ")"
+        bounded = F.regexp_count(lowered, F.lit(literal + behind + WORD_END))
+        count = F.when(F.contains(lowered, F.lit(term.lower())), bounded)
+    else:
         # Removing the term and comparing lengths avoids the regular expression engine.
         gone = F.length(F.replace(lowered, F.lit(term.lower()), F.lit("")))
         count = F.floor((F.length(lowered) - gone) / len(term))
-        return F.coalesce(count, F.lit(0)).cast("long")
-    return F.coalesce(F.regexp_count(lowered, F.lit(term_pattern(term, word))), F.lit(0)).cast("long")
+    return F.coalesce(count, F.lit(0)).cast("long")
 
 
 def matched_names(lowered: Column, dictionary: dict[str, Sequence[Term]], word: bool = False) -> Column:
@@ -98,11 +115,13 @@ def assemble(title: Column, body: Column, nulls: str = "skip") -> Column:
 
 
 def normalize(text: Column) -> Column:
-    """Lower case, links removed, anything but a-z and white space blanked, spaces collapsed."""
-    lowered = F.lower(F.coalesce(text, F.lit("")))
-    unlinked = F.regexp_replace(lowered, r"http\S+|www\S+", "")
-    letters = F.regexp_replace(unlinked, r"[^a-z\s]", " ")
-    return F.trim(F.regexp_replace(letters, r"\s+", " "))
+    """Lower case, links removed, every run of other characters than a-z as one space."""
+    def letters(lowered: Column) -> Column:
+        linked = F.contains(lowered, F.lit("http")) | F.contains(lowered, F.lit("www"))
+        unlinked = F.when(linked, F.regexp_replace(lowered, r"http\S+|www\S+", "")).otherwise(lowered)
+        return F.trim(F.regexp_replace(unlinked, "[^a-z]+", " "))
+
+    return let(F.lower(F.coalesce(text, F.lit(""))), letters)
 
 
 def tokens(text: Column) -> Column:

@@ -17,6 +17,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .binding import let
+
 # Fixed values from the paper.
 NORMALIZER = 15.0
 NEGATED = -0.74
@@ -57,22 +59,25 @@ def _is(word: Column, names) -> Column:
     return F.coalesce(word.isin(names), F.lit(False)) if names else F.lit(False)
 
 
-def _hit_score(words: Column, raw: Column, mixed_case: Column, but_at: Column, i: Column, lexicon: ValenceLexicon) -> Column:
-    """Valence of the lexicon word at position i in its context."""
-    value = _lookup(F.get(words, i), lexicon.words)
-    sign = F.signum(value)
-    shouted = mixed_case & (F.upper(F.get(raw, i)) == F.get(raw, i)) & (F.length(F.get(raw, i)) > 1)
-    total = value + F.when(shouted, sign * CAPITALS).otherwise(0.0)
-    flips = F.lit(0)
-    for distance, weight in enumerate(DAMPING, start=1):
-        before = F.get(words, i - distance)
-        total = total + F.coalesce(_lookup(before, lexicon.boosters), F.lit(0.0)) * sign * weight
-        flips = flips + _is(before, lexicon.negators).cast("int")
-    total = total * F.pow(F.lit(NEGATED), flips)
+def _hit_score(text: Column, i: Column, lexicon: ValenceLexicon) -> Column:
+    """Valence of the lexicon word at position i of a prepared text in its context."""
+    words, raw, but_at = text["words"], F.get(text["raw"], i), text["but_at"]
+
+    def in_context(value: Column) -> Column:
+        sign = F.signum(value)
+        shouted = text["mixed"] & (F.upper(raw) == raw) & (F.length(raw) > 1)
+        total = value + F.when(shouted, sign * CAPITALS).otherwise(0.0)
+        flips = F.lit(0)
+        for distance, weight in enumerate(DAMPING, start=1):
+            before = F.get(words, i - distance)
+            total = total + _lookup(before, lexicon.boosters) * sign * weight
+            flips = flips + _is(before, lexicon.negators).cast("int")
+        return total * F.pow(F.lit(NEGATED), flips)
+
     but_weight = (
         F.when(but_at == 0, 1.0).when(i + 1 < but_at, BEFORE_BUT).when(i + 1 > but_at, AFTER_BUT).otherwise(1.0)
     )
-    return total * but_weight
+    return let(_lookup(F.get(words, i), lexicon.words), in_context) * but_weight
 
 
 def _punctuation(text: Column) -> Column:
@@ -82,51 +87,45 @@ def _punctuation(text: Column) -> Column:
     return bangs * EXCLAMATION + asked
 
 
-def add_valence(df: DataFrame, text: str, lexicon: ValenceLexicon, out: str = "sentiment_score") -> DataFrame:
-    """Add the compound score in [-1, 1], rounded to four places; null and empty texts score 0.
+def valence(text: Column, lexicon: ValenceLexicon) -> Column:
+    """The compound score in [-1, 1], rounded to four places; null and empty texts score 0.
 
-    The token arrays are their own projection steps. They are used several times below, so the
-    optimiser keeps them apart and each text is tokenised once.
+    Tokens and their context are bound step by step, so each text is tokenised once wherever the
+    optimiser places the expression.
     """
-    raw, words, spots, total = (f"__{out}_{part}" for part in ("raw", "words", "spots", "total"))
-    tokenised = df.withColumn(raw, F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit("[A-Za-z']+"), F.lit(0)))
-    lowered = tokenised.withColumn(words, F.transform(raw, lambda w: F.lower(w)))
     vocabulary = sorted(lexicon.words)
-    placed = lowered.withColumn(
-        spots,
-        F.when(
-            F.arrays_overlap(F.col(words), F.array(*[F.lit(w) for w in vocabulary])),
-            F.filter(
-                F.sequence(F.lit(0), F.size(words) - 1),
-                lambda i: F.get(F.col(words), i).isin(vocabulary),
-            ),
-        ),
-    )
-    raw_c, words_c = F.col(raw), F.col(words)
-    capitals = F.size(F.filter(raw_c, lambda w: (F.upper(w) == w) & (F.length(w) > 1)))
-    mixed_case = (capitals > 0) & (capitals < F.size(raw_c))
-    context = F.struct(
-        mixed_case.alias("mixed"),
-        F.array_position(words_c, lexicon.contrast).cast("int").alias("but_at"),
-    )
-    # One-element transform: binds the per-text context once for all hits.
-    summed = placed.withColumn(
-        total,
-        F.transform(
-            F.array(context),
-            lambda c: F.aggregate(
-                F.col(spots),
-                F.lit(0.0),
-                lambda acc, i: acc + _hit_score(words_c, raw_c, c["mixed"], c["but_at"], i, lexicon),
-            ),
-        )[0],
-    )
-    s = F.coalesce(F.col(total), F.lit(0.0))
-    emphasised = s + F.signum(s) * _punctuation(F.coalesce(F.col(text), F.lit("")))
-    stressed = summed.withColumn(total, emphasised)
-    t = F.col(total)
-    compound = F.round(t / F.sqrt(t * t + NORMALIZER), 4)
-    return stressed.withColumn(out, compound).drop(raw, words, spots, total)
+
+    def is_capitals(w: Column) -> Column:
+        return (F.upper(w) == w) & (F.length(w) > 1)
+
+    def prepare(raw: Column) -> Column:
+        capitals = F.size(F.filter(raw, is_capitals))
+        return F.struct(
+            raw.alias("raw"),
+            F.transform(raw, lambda w: F.lower(w)).alias("words"),
+            ((capitals > 0) & (capitals < F.size(raw))).alias("mixed"),
+        )
+
+    def locate(t: Column) -> Column:
+        hits = F.filter(F.sequence(F.lit(0), F.size(t["words"]) - 1), lambda i: F.get(t["words"], i).isin(vocabulary))
+        return F.struct(
+            t["raw"].alias("raw"), t["words"].alias("words"), t["mixed"].alias("mixed"),
+            F.array_position(t["words"], lexicon.contrast).cast("int").alias("but_at"),
+            F.when(F.size(t["words"]) > 0, hits).otherwise(F.array().cast("array<int>")).alias("hits"),
+        )
+
+    def total(t: Column) -> Column:
+        return F.aggregate(t["hits"], F.lit(0.0), lambda acc, i: acc + _hit_score(t, i, lexicon))
+
+    whole = F.coalesce(text, F.lit(""))
+    raw = F.regexp_extract_all(whole, F.lit("[A-Za-z']+"), F.lit(0))
+    s = let(raw, lambda r: let(prepare(r), lambda p: let(locate(p), total)))
+    stressed = let(s, lambda t: t + F.signum(t) * _punctuation(whole))
+    return F.round(let(stressed, lambda t: t / F.sqrt(t * t + NORMALIZER)), 4)
+
+
+def add_valence(df: DataFrame, text: str, lexicon: ValenceLexicon, out: str = "sentiment_score") -> DataFrame:
+    return df.withColumn(out, valence(F.col(text), lexicon))
 
 
 def category(score: Column, names=("Positive", "Negative", "Neutral"), cut: float = 0.05) -> Column:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import text as tx
+from ..functions.binding import add_kept, let
 from ..functions.numeric import percent
 from .skew import grouped_median
 
@@ -27,8 +28,7 @@ def dominant_brand(lowered: Column, brands: dict[str, Sequence[tx.Term]], word:
         leaders = F.filter(all_counts, lambda c: c["n"] == most)
         return F.when((most > 0) & (F.size(leaders) == 1), leaders[0]["brand"])
 
-    # Bound once through a one-element transform, so each pattern runs once per text.
-    return F.transform(F.array(F.array(*counts)), pick)[0]
+    return let(F.array(*counts), pick)
 
 
 def list_sentiment(lowered: Column, positive: Sequence[str], negative: Sequence[str], word: bool = False) -> Column:
@@ -40,7 +40,7 @@ def list_sentiment(lowered: Column, positive: Sequence[str], negative: Sequence[
         tx.distinct_term_hits(lowered, positive, word).alias("p"),
         tx.distinct_term_hits(lowered, negative, word).alias("n"),
     )
-    return F.transform(F.array(counts), label)[0]
+    return let(counts, label)
 
 
 def branded_texts(
@@ -48,8 +48,8 @@ def branded_texts(
     stages: Sequence[tuple[str, Sequence[tx.Term]]] = (), default_stage: str = "general discussion", min_length: int = 10,
 ) -> DataFrame:
     """Texts with a dominant brand, their normalised form, sentiment and journey stage."""
-    named = df.withColumn("brand", dominant_brand(F.lower(body), brands)).where(F.col("brand").isNotNull())
-    kept = named.withColumn("processed_text", tx.normalize(F.col(body))).where(F.length("processed_text") >= min_length)
+    named = add_kept(df, "brand", dominant_brand(F.lower(body), brands), lambda brand: brand.isNotNull())
+    kept = add_kept(named, "processed_text", tx.normalize(F.col(body)), lambda text: F.length(text) >= min_length)
     scored = kept.withColumn("sentiment", list_sentiment(F.col("processed_text"), positive, negative))
     if not stages:
         return scored

@@ -11,8 +11,9 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import text as tx
+from ..functions.binding import add_kept
 from ..functions.numeric import percent
-from ..functions.valence import ValenceLexicon, add_valence
+from ..functions.valence import ValenceLexicon, valence
 from .mentions import Dictionary
 
 
@@ -28,8 +29,8 @@ def pain_point_vectors(
     about = texts.where(tx.mentions(lowered, subject, word))
     flagged = about.withColumns({name: tx.mentions(lowered, terms, word).cast("int") for name, terms in pain_points.items()})
     some = F.greatest(*[F.col(p) for p in pain_points], F.lit(0)) == 1
-    scored = add_valence(flagged.where(some), "text", lexicon, "sentiment")
-    return scored.where(F.col("sentiment") < cut).select(*keep, "sentiment", *pain_points)
+    negative = add_kept(flagged.where(some), "sentiment", valence(F.col("text"), lexicon), lambda score: score < cut)
+    return negative.select(*keep, "sentiment", *pain_points)
 
 
 def weighted_points(vectors: DataFrame, columns: Sequence[str]) -> DataFrame:

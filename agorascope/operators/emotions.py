@@ -7,9 +7,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import text as tx
+from ..functions.binding import add_kept
 from ..functions.numeric import percent
 from ..presets import EMOTIONS, NEGATIVE_EMOTIONS
 from .mentions import Dictionary
@@ -37,10 +38,6 @@ def lexicon_hits(
     return found.groupBy(key, "emotion").agg(F.sum(times).alias("hits"))
 
 
-def _feature_flags(lowered: Column, features: Dictionary, word: bool) -> dict[str, Column]:
-    return {f"f{i}": tx.mentions(lowered, terms, word) for i, terms in enumerate(features.values())}
-
-
 def feature_emotion_hits(
     df: DataFrame, text: str, features: Dictionary, lexicon: DataFrame, keys: Sequence[str] = (),
     word: bool = False, max_broadcast_rows: int = LEXICON_ROWS_MAX,
@@ -52,16 +49,18 @@ def feature_emotion_hits(
     than the vocabulary; a frequent word is one row by then. A lexicon small enough also drops
     other words before any exchange.
     """
-    flags = _feature_flags(F.lower(text), features, word)
-    flagged = df.select(*keys, F.col(text), *[f.alias(n) for n, f in flags.items()])
-    any_flag = F.array_contains(F.array(*[F.col(n) for n in flags]), True)
-    said = flagged.where(any_flag).select(*keys, *flags, F.explode(tx.tokens(F.col(text))).alias("word"))
+    flags = F.array(*[tx.mentions(F.lower(text), terms, word) for terms in features.values()])
+    flagged = add_kept(df.select(*keys, text), "__flags", flags, lambda f: F.array_contains(f, True))
+    said = flagged.select(*keys, "__flags", F.explode(tx.tokens(F.col(text))).alias("word"))
     if fits(lexicon, max_broadcast_rows):
         said = said.join(F.broadcast(lexicon.select("word").distinct()), "word", "left_semi")
-    per_word = said.groupBy(*keys, "word").agg(*[F.count_if(F.col(n)).alias(n) for n in flags])
-    pairs = ", ".join(f"'{name}', `{col}`" for name, col in zip(features, flags))
+    counters = [f"f{i}" for i in range(len(features))]
+    per_word = said.groupBy(*keys, "word").agg(*[
+        F.count_if(F.get("__flags", F.lit(i))).alias(c) for i, c in enumerate(counters)
+    ])
+    pairs = ", ".join(f"'{name}', {c}" for name, c in zip(features, counters))
     return (
-        per_word.join(lexicon, "word").groupBy(*keys, "emotion").agg(*[F.sum(n).alias(n) for n in flags])
+        per_word.join(lexicon, "word").groupBy(*keys, "emotion").agg(*[F.sum(c).alias(c) for c in counters])
         .select(*keys, "emotion", F.expr(f"stack({len(features)}, {pairs}) as (feature, hits)"))
         .where(F.col("hits") > 0)
     )

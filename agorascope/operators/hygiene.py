@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import sampling, text as tx
+from ..functions.binding import add_kept
 from ..functions.numeric import percent, whole_or_zero
 from ..functions.time import epoch_timestamp
 
@@ -75,7 +76,7 @@ def fill_numeric(df: DataFrame, columns: Sequence[str], kind: str = "int") -> Da
 
 
 def normalized_texts(df: DataFrame, text: str, out: str = "processed_text", min_length: int = 20) -> DataFrame:
-    return df.withColumn(out, tx.normalize(F.col(text))).where(F.length(out) >= min_length)
+    return add_kept(df, out, tx.normalize(F.col(text)), lambda t: F.length(t) >= min_length)
 
 
 def period_rows(df: DataFrame, day: str, first: str, last: str, event_day: str, before="Pre-Launch", after="Post-Launch") -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import text as tx
+from ..functions.binding import add_kept
 from ..functions.numeric import percent
 from ..functions.valence import ValenceLexicon, add_valence, category
 
@@ -28,8 +29,8 @@ def scored_features(df: DataFrame, text: str, features: Dictionary, lexicon: Val
     Texts without a feature are dropped before scoring and the text itself before the
     explosion, so what is multiplied is one short name and one number per mention.
     """
-    named = df.select(F.col(text), tx.matched_names(F.lower(text), features, word).alias("features"))
-    scored = add_valence(named.where(F.size("features") > 0), text, lexicon)
+    named = add_kept(df.select(text), "features", tx.matched_names(F.lower(text), features, word), lambda f: F.size(f) > 0)
+    scored = add_valence(named, text, lexicon)
     return scored.select(F.explode("features").alias("feature"), "sentiment_score")
 
 
@@ -64,12 +65,11 @@ def brand_feature_counts(
     brand without features is still counted. Brands with fewer than ``min_texts`` are left out.
     """
     text = F.col(lowered)
-    flagged = df.where(tx.mentions(text, context, word)).select(
-        tx.matched_names(text, brands, word=True).alias("brands"),
-        F.array_append(tx.matched_names(text, features, word), F.lit(None).cast("string")).alias("features"),
-    )
+    about = df.where(tx.mentions(text, context, word)).select(lowered)
+    branded = add_kept(about, "brands", tx.matched_names(text, brands, word=True), lambda b: F.size(b) > 0)
+    with_total = F.array_append(tx.matched_names(text, features, word), F.lit(None).cast("string"))
     counted = (
-        flagged.where(F.size("brands") > 0)
+        branded.select("brands", with_total.alias("features"))
         .select(F.explode("brands").alias("brand"), "features")
         .select("brand", F.explode("features").alias("feature"))
         .groupBy("brand", "feature").agg(F.count(F.lit(1)).alias("mentions"))

@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from . import activity, depth, filters, io  # noqa: F401
+from . import activity, depth, filters, io, launch, modelling, textmine  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401
