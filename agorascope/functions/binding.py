@@ -21,6 +21,7 @@ def add_kept(df: DataFrame, name: str, value: Column, keep: Callable[[Column], C
     """Add a computed column and drop the rows whose value fails ``keep``.
 
     The same rows as ``withColumn`` and ``where``, but a filter on the new column cannot be
-    pushed below its computation and repeat it.
+    pushed below its computation and repeat it. The computation stays in a projection of its
+    own, where generated code shares common parts.
     """
-    return df.withColumn(name, F.explode(F.filter(F.array(value), keep)))
+    return df.withColumn(name, value).withColumn(name, F.explode(F.filter(F.array(name), keep)))

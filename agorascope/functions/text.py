@@ -11,7 +11,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, functions as F
 
@@ -60,6 +60,12 @@ def mentions(lowered: Column, terms: Sequence[Term], word: bool = False) -> Colu
     return reduce(or_, tests)
 
 
+def text_mentions(text: Column, terms: Sequence[Term], word: bool = False) -> Column:
+    """``mentions`` for text in any case, lower-cased once; for use in filters, which do not
+    share common parts of an expression."""
+    return let(F.lower(text), lambda lowered: mentions(lowered, terms, word))
+
+
 def distinct_term_hits(lowered: Column, terms: Sequence[str], word: bool = False) -> Column:
     """How many of the terms occur at least once."""
     return reduce(
@@ -135,6 +141,12 @@ def keyword_pattern(keyword: str) -> str:
     return WORD_START + gap.join(quote(p) for p in re.split(r"[-\s]", keyword.lower())) + WORD_END
 
 
+def has_keyword(lowered: Column, keyword: str) -> Column:
+    """Whether a text has the keyword; the pattern runs only where all its parts occur."""
+    parts = [F.contains(lowered, F.lit(p)) for p in re.split(r"[-\s]", keyword.lower()) if p]
+    return reduce(and_, parts) & F.rlike(lowered, F.lit(keyword_pattern(keyword)))
+
+
 def keyword_column(keyword: str) -> str:
     return "mentions_" + re.sub(r"[-\s]", "_", keyword.lower())
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -14,21 +16,23 @@ from .skew import grouped_median
 SENTIMENTS = ("negative", "neutral", "positive")
 
 
+def _all_hits(text: Column, terms: Sequence[tx.Term], word: bool = False) -> Column:
+    return reduce(add, [tx.occurrences(text, t, word) for t in terms])
+
+
 def dominant_brand(lowered: Column, brands: dict[str, Sequence[tx.Term]], word: bool = True) -> Column:
     """The brand with most term occurrences in a text; null without a hit or on a tie."""
-    counts = []
-    for name, terms in brands.items():
-        hits = tx.occurrences(lowered, terms[0], word)
-        for term in terms[1:]:
-            hits = hits + tx.occurrences(lowered, term, word)
-        counts.append(F.struct(hits.alias("n"), F.lit(name).alias("brand")))
+    def count(text: Column) -> Column:
+        return F.array(*[
+            F.struct(_all_hits(text, terms, word).alias("n"), F.lit(name).alias("brand")) for name, terms in brands.items()
+        ])
 
     def pick(all_counts: Column) -> Column:
         most = F.array_max(all_counts)["n"]
         leaders = F.filter(all_counts, lambda c: c["n"] == most)
         return F.when((most > 0) & (F.size(leaders) == 1), leaders[0]["brand"])
 
-    return let(F.array(*counts), pick)
+    return let(lowered, lambda text: let(count(text), pick))
 
 
 def list_sentiment(lowered: Column, positive: Sequence[str], negative: Sequence[str], word: bool = False) -> Column:
@@ -36,11 +40,13 @@ def list_sentiment(lowered: Column, positive: Sequence[str], negative: Sequence[
     def label(c: Column) -> Column:
         return F.when(c["p"] > c["n"], "positive").when(c["n"] > c["p"], "negative").otherwise("neutral")
 
-    counts = F.struct(
-        tx.distinct_term_hits(lowered, positive, word).alias("p"),
-        tx.distinct_term_hits(lowered, negative, word).alias("n"),
-    )
-    return let(counts, label)
+    def count(text: Column) -> Column:
+        return F.struct(
+            tx.distinct_term_hits(text, positive, word).alias("p"),
+            tx.distinct_term_hits(text, negative, word).alias("n"),
+        )
+
+    return let(lowered, lambda text: let(count(text), label))
 
 
 def branded_texts(
@@ -96,13 +102,10 @@ def term_counts(df: DataFrame, terms: Sequence[str], text: str = "processed_text
 
 
 def problem_vs_feature(df: DataFrame, problems: Sequence[str], features: Sequence[str], text: str = "processed_text") -> DataFrame:
-    def all_hits(terms: Sequence[str]) -> Column:
-        hits = tx.occurrences(F.col(text), terms[0])
-        for term in terms[1:]:
-            hits = hits + tx.occurrences(F.col(text), term)
-        return F.sum(hits)
-
-    return df.groupBy("brand").agg(all_hits(problems).alias("problems"), all_hits(features).alias("features"))
+    return df.groupBy("brand").agg(
+        F.sum(_all_hits(F.col(text), problems)).alias("problems"),
+        F.sum(_all_hits(F.col(text), features)).alias("features"),
+    )
 
 
 def text_length(df: DataFrame, body: str) -> DataFrame:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
@@ -26,11 +28,11 @@ def pain_point_vectors(
     The cheap filters come first; only texts that pass them are scored.
     """
     lowered = F.lower("text")
-    about = texts.where(tx.mentions(lowered, subject, word))
-    flagged = about.withColumns({name: tx.mentions(lowered, terms, word).cast("int") for name, terms in pain_points.items()})
-    some = F.greatest(*[F.col(p) for p in pain_points], F.lit(0)) == 1
-    negative = add_kept(flagged.where(some), "sentiment", valence(F.col("text"), lexicon), lambda score: score < cut)
-    return negative.select(*keep, "sentiment", *pain_points)
+    about = texts.where(tx.text_mentions(F.col("text"), subject, word))
+    flags = F.struct(*[tx.mentions(lowered, terms, word).cast("int").alias(name) for name, terms in pain_points.items()])
+    flagged = add_kept(about, "__flags", flags, lambda f: reduce(or_, [f[name] == 1 for name in pain_points]))
+    negative = add_kept(flagged, "sentiment", valence(F.col("text"), lexicon), lambda score: score < cut)
+    return negative.select(*keep, "sentiment", "__flags.*")
 
 
 def weighted_points(vectors: DataFrame, columns: Sequence[str]) -> DataFrame:

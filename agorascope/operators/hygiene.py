@@ -67,7 +67,7 @@ def two_tier(
     listed = F.col(column).isin([*focus, *mixed])
     named = F.lit(False)
     for t in texts:
-        named = named | F.coalesce(tx.mentions(F.lower(t), terms, word), F.lit(False))
+        named = named | F.coalesce(tx.text_mentions(F.col(t), terms, word), F.lit(False))
     return df.where(listed).where(F.col(column).isin(list(focus)) | named)
 
 

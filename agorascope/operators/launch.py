@@ -63,7 +63,7 @@ def keyword_flags(df: DataFrame, keywords: Sequence[str], text: str = "text") ->
     """A 0/1 column per distinct keyword."""
     lowered = F.lower(text)
     return df.withColumns({
-        tx.keyword_column(k): F.rlike(lowered, F.lit(tx.keyword_pattern(k))).cast("int") for k in tx.unique_keywords(keywords)
+        tx.keyword_column(k): tx.has_keyword(lowered, k).cast("int") for k in tx.unique_keywords(keywords)
     })
 
 

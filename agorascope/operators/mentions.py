@@ -65,7 +65,7 @@ def brand_feature_counts(
     brand without features is still counted. Brands with fewer than ``min_texts`` are left out.
     """
     text = F.col(lowered)
-    about = df.where(tx.mentions(text, context, word)).select(lowered)
+    about = df.where(tx.text_mentions(text, context, word)).select(lowered)
     branded = add_kept(about, "brands", tx.matched_names(text, brands, word=True), lambda b: F.size(b) > 0)
     with_total = F.array_append(tx.matched_names(text, features, word), F.lit(None).cast("string"))
     counted = (
