@@ -21,7 +21,7 @@ Term = str | dict[str, str]
 
 WORD_START = "(?<![a-z0-9_])"
 WORD_END = "(?![a-z0-9_])"
-TOKEN = "[A-Za-z']+"
+TOKEN = "[a-z']+"
 
 
 def quote(literal: str) -> str:
@@ -132,7 +132,7 @@ def normalize(text: Column) -> Column:
 
 def tokens(text: Column) -> Column:
     """ASCII word tokens in lower case."""
-    return F.transform(F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0)), lambda t: F.lower(t))
+    return F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0))
 
 
 def keyword_pattern(keyword: str) -> str:

@@ -98,8 +98,11 @@ def valence(text: Column, lexicon: ValenceLexicon) -> Column:
     def is_capitals(w: Column) -> Column:
         return (F.upper(w) == w) & (F.length(w) > 1)
 
+    # Most texts have no two capitals in a row; only the others need a look at each token.
+    maybe_capitals = F.rlike(text, F.lit("[A-Z'][A-Z']"))
+
     def prepare(raw: Column) -> Column:
-        capitals = F.size(F.filter(raw, is_capitals))
+        capitals = F.when(maybe_capitals, F.size(F.filter(raw, is_capitals))).otherwise(0)
         return F.struct(
             raw.alias("raw"),
             F.transform(raw, lambda w: F.lower(w)).alias("words"),

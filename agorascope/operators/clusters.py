@@ -70,7 +70,9 @@ def kmeans_sweep(vectors: DataFrame, columns: Sequence[str], ks: Sequence[int] =
 
 def centroids(vectors: DataFrame, columns: Sequence[str], k: int, seed: int = 42) -> DataFrame:
     """Cluster, pain point and centre coordinate in long form."""
-    model = fit_kmeans(weighted_points(vectors, columns), k, seed)
+    points = weighted_points(vectors, columns).persist(StorageLevel.MEMORY_AND_DISK)
+    model = fit_kmeans(points, k, seed)
+    points.unpersist()
     rows = [(c, name, float(x)) for c, centre in enumerate(model.clusterCenters()) for name, x in zip(columns, centre)]
     return vectors.sparkSession.createDataFrame(rows, "cluster int, pain_point string, value double")
 

@@ -95,7 +95,9 @@ def summary(by_period: DataFrame, sentiment: DataFrame, change: DataFrame, k: in
     def of(df: DataFrame, value: str, period: str):
         return F.max(F.when(F.col("period") == period, F.col(value)))
 
-    grown = percent(of(by_period, "total_posts", POST) - of(by_period, "total_posts", PRE), of(by_period, "total_posts", PRE))
+    # A period without texts has a volume of 0 but no mean sentiment.
+    before, after = (F.coalesce(of(by_period, "total_posts", p), F.lit(0)) for p in (PRE, POST))
+    grown = percent(after - before, before)
     volume = by_period.agg(grown.alias("value")).select(F.lit("volume_change_pct").alias("metric"), "value")
     shifted = of(sentiment, "avg_sentiment", POST) - of(sentiment, "avg_sentiment", PRE)
     mood = sentiment.agg(shifted.alias("value")).select(F.lit("sentiment_change").alias("metric"), "value")

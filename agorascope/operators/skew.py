@@ -79,7 +79,9 @@ def ranked_histogram(df: DataFrame, value: str, descending: bool = False) -> Dat
     cuts = hist.agg(
         F.percentile_approx(value, [i / SPLITS for i in range(1, SPLITS)], 2000).alias("cuts")
     ).scalar()
-    below = F.size(F.filter(F.col("__cuts"), lambda c: c < F.col(value)))
+    # Never null, so that the join below cannot push a null test, and with it the search for the
+    # range, down to the rows.
+    below = F.coalesce(F.size(F.filter(F.col("__cuts"), lambda c: c < F.col(value))), F.lit(0))
     ranged = hist.withColumn("__cuts", cuts).withColumn("__range", -below if descending else below).drop("__cuts")
     whole = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy()

@@ -134,7 +134,7 @@ felt AS (SELECT c.period, s.compound FROM corpus c JOIN scored s ON s.k = c.key)
 front AS (SELECT 'keyword: ' || keyword AS metric, change_pct AS value FROM change WHERE change_pct IS NOT NULL
             ORDER BY change_pct DESC, keyword LIMIT 3)
 SELECT 'volume_change_pct' AS metric, round(100.0 * (count(*) FILTER (period = 'Post-Launch') - count(*) FILTER (period = 'Pre-Launch'))
-       / count(*) FILTER (period = 'Pre-Launch'), 6) AS value FROM corpus
+       / nullif(count(*) FILTER (period = 'Pre-Launch'), 0), 6) AS value FROM corpus
 UNION ALL SELECT 'sentiment_change', round(avg(compound) FILTER (period = 'Post-Launch') - avg(compound) FILTER (period = 'Pre-Launch'), 6) FROM felt
 UNION ALL SELECT metric, round(value, 6) FROM front""")
 def launch_summary(spark, folder):

@@ -264,7 +264,9 @@ def tfidf_features(spark, folder):
     return b.rounded(models.vector_values(fitted.transform(featured), "id", "tfidf"))
 
 
-@query("category_encoding")
+@query("category_encoding", """
+WITH places AS (SELECT source, row_number() OVER (ORDER BY count(*) DESC, source) - 1 AS place FROM documents GROUP BY 1)
+SELECT doc_id AS id, CAST(place AS INTEGER) AS index, CAST(1 AS DOUBLE) AS value FROM documents JOIN places USING (source)""")
 def category_encoding(spark, folder):
     featured = _featured(spark, folder).select("id", "community")
     fitted = Pipeline(stages=models.category_stages()).fit(featured)

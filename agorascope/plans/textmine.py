@@ -154,7 +154,7 @@ def feature_report(spark, folder):
 # --- emotions -----------------------------------------------------------------------------------
 
 LEXICON = values_table("lex", "word, emotion", [(w, e) for w, es in b.EMOTION_WORDS.items() for e in es])
-TOKENS = "toks AS (SELECT id, lower(unnest(regexp_extract_all(body, '[A-Za-z'']+'))) AS word FROM texts)"
+TOKENS = "toks AS (SELECT id, unnest(regexp_extract_all(lower(body), '[a-z'']+')) AS word FROM texts)"
 TEXT_HITS = "text_hits AS (SELECT id, emotion, count(*) AS hits FROM toks JOIN lex USING (word) GROUP BY 1, 2)"
 MONTH = f"CAST(year({utc('created_utc')}) * 100 + month({utc('created_utc')}) AS INTEGER)"
 FEATURE_HITS = f"""feature_hits AS (

@@ -27,14 +27,15 @@ def read_table(spark: SparkSession, path: str | Sequence[str], schema: StructTyp
         raise UnreadablePath(f"cannot read table at {', '.join(paths)}: {error.getCondition()}") from error
 
 
-def write_by_month(df: DataFrame, path: str, day: str = "date") -> None:
+def write_by_month(df: DataFrame, path: str, day: str = "date", rebalance: bool = True) -> None:
     """Overwrite a parquet table partitioned by yyyy and mm.
 
-    Rows are not shuffled by month first: one month may hold most rows, and each task then
-    writes its own part of it in parallel.
+    Rebalancing gathers each month's rows so that files are few, and lets AQE split a month that
+    holds most of the rows over many tasks. Turn it off when the input already lies by month.
     """
     dated = df.withColumn("yyyy", F.date_format(day, "yyyy")).withColumn("mm", F.date_format(day, "MM"))
-    dated.write.mode("overwrite").partitionBy("yyyy", "mm").parquet(path)
+    placed = dated.hint("rebalance", "yyyy", "mm") if rebalance else dated
+    placed.write.mode("overwrite").partitionBy("yyyy", "mm").parquet(path)
 
 
 def export_csv(df: DataFrame, path: str) -> None:
