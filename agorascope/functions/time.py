@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta, timezone
+
 from pyspark.sql import Column, functions as F
 
 MILLIS_FROM = 1_000_000_000_000
@@ -13,6 +15,19 @@ def epoch_timestamp(epoch: Column) -> Column:
     return F.timestamp_seconds(seconds.cast("long"))
 
 
+def epoch_within(epoch: Column, first_day: str, last_day: str) -> Column:
+    """Whether an epoch, in seconds or milliseconds, may lie on first_day..last_day (UTC).
+
+    Plain comparisons of the stored column, which a scan can use to skip row groups. It may let
+    too much pass, never too little; the exact test is on the date.
+    """
+    low = int(datetime.fromisoformat(first_day).replace(tzinfo=timezone.utc).timestamp())
+    high = int((datetime.fromisoformat(last_day) + timedelta(days=1)).replace(tzinfo=timezone.utc).timestamp())
+    seconds = (epoch >= low) & (epoch < high)
+    millis = (epoch >= low * 1000) & (epoch < high * 1000)
+    return seconds | millis
+
+
 def bucket_columns(ts: Column) -> dict[str, Column]:
     """Hour, weekday (1 = Sunday), month and year of a timestamp."""
     return {

@@ -57,14 +57,19 @@ def rmse_by(df: DataFrame, key: str, label: str, prediction: str) -> DataFrame:
 
 
 def compare_models(df: DataFrame, label: str, first: str, second: str) -> DataFrame:
-    """Metrics of two predictions on the same rows and the second minus the first."""
-    one = regression_metrics(df, label, first)
-    two = regression_metrics(df, label, second)
-
-    def long(m: DataFrame, name: str) -> DataFrame:
-        return m.select(F.expr("stack(3, 'r2', r2, 'rmse', rmse, 'mae', mae) as (metric, value)")).withColumnRenamed("value", name)
-
-    both = long(one, "model_1").join(long(two, "model_2"), "metric")
+    """Metrics of two predictions on the same rows, in one pass, and the second minus the first."""
+    complete = df.where(F.col(label).isNotNull() & F.col(first).isNotNull() & F.col(second).isNotNull())
+    measures = [F.var_pop(label).alias("variance")]
+    for i, prediction in enumerate((first, second), start=1):
+        error = F.col(prediction) - F.col(label)
+        measures += [F.avg(error * error).alias(f"mse_{i}"), F.avg(F.abs(error)).alias(f"mae_{i}")]
+    scored = complete.agg(*measures)
+    for i in (1, 2):
+        scored = scored.withColumns({
+            f"r2_{i}": 1 - F.try_divide(F.col(f"mse_{i}"), F.col("variance")), f"rmse_{i}": F.sqrt(f"mse_{i}"),
+        })
+    rows = ", ".join(f"'{m}', {m}_1, {m}_2" for m in ("r2", "rmse", "mae"))
+    both = scored.select(F.expr(f"stack(3, {rows}) as (metric, model_1, model_2)"))
     return both.withColumn("delta", F.col("model_2") - F.col("model_1"))
 
 

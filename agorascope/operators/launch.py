@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import text as tx
 from ..functions.numeric import percent
-from ..functions.time import epoch_timestamp, month_text
+from ..functions.time import epoch_timestamp, epoch_within, month_text
 from .hygiene import period_rows
 
 PRE, POST = "Pre-Launch", "Post-Launch"
@@ -21,9 +20,10 @@ def corpus(
 ) -> DataFrame:
     """Texts matching the product pattern within the dates, with date, month and period.
 
-    The date range is applied first: it is cheap, and with date partitions it prunes files.
+    The date range is applied first, once on the stored epoch, where it reaches the scan, and once
+    exactly; the pattern runs only on what is left.
     """
-    dated = texts.withColumn("date", F.to_date(epoch_timestamp(F.col(epoch))))
+    dated = texts.where(epoch_within(F.col(epoch), first, last)).withColumn("date", F.to_date(epoch_timestamp(F.col(epoch))))
     inside = period_rows(dated, "date", first, last, event_day, PRE, POST)
     matching = inside.where(F.col("text").rlike(product) & (F.length("text") >= min_length))
     return matching.withColumn("year_month", month_text(F.col("date")))
@@ -90,18 +90,19 @@ def keyword_change(rates: DataFrame) -> DataFrame:
     return wide.withColumn("change_pct", change).orderBy(F.desc_nulls_last("change_pct"), "keyword")
 
 
-def summary(by_period: DataFrame, sentiment: DataFrame, change: DataFrame, k: int = 3) -> DataFrame:
-    """Change of volume in percent, change of mean sentiment, and the k largest keyword changes."""
-    def of(df: DataFrame, value: str, period: str):
+def summary(sentiment: DataFrame, change: DataFrame, k: int = 3) -> DataFrame:
+    """Change of volume in percent, change of mean sentiment, and the k largest keyword changes,
+    from the sentiment and keyword tables by period."""
+    def of(value: str, period: str):
         return F.max(F.when(F.col("period") == period, F.col(value)))
 
     # A period without texts has a volume of 0 but no mean sentiment.
-    before, after = (F.coalesce(of(by_period, "total_posts", p), F.lit(0)) for p in (PRE, POST))
-    grown = percent(after - before, before)
-    volume = by_period.agg(grown.alias("value")).select(F.lit("volume_change_pct").alias("metric"), "value")
-    shifted = of(sentiment, "avg_sentiment", POST) - of(sentiment, "avg_sentiment", PRE)
-    mood = sentiment.agg(shifted.alias("value")).select(F.lit("sentiment_change").alias("metric"), "value")
+    before, after = (F.coalesce(of("total_posts", p), F.lit(0)) for p in (PRE, POST))
+    periods = sentiment.agg(
+        percent(after - before, before).alias("grown"),
+        (of("avg_sentiment", POST) - of("avg_sentiment", PRE)).alias("shifted"),
+    ).select(F.expr("stack(2, 'volume_change_pct', grown, 'sentiment_change', shifted) as (metric, value)"))
     words = change.where(F.col("change_pct").isNotNull()).orderBy(F.desc("change_pct"), "keyword").limit(k).select(
         F.concat(F.lit("keyword: "), F.col("keyword")).alias("metric"), F.col("change_pct").alias("value")
     )
-    return reduce(DataFrame.unionByName, [volume, mood, words])
+    return periods.unionByName(words)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import text as tx
 from ..functions.binding import add_kept
@@ -34,24 +34,28 @@ def scored_features(df: DataFrame, text: str, features: Dictionary, lexicon: Val
     return scored.select(F.explode("features").alias("feature"), "sentiment_score")
 
 
-def feature_sentiment(mentions: DataFrame, cut: float = 0.05) -> DataFrame:
-    """Counts and percentages of the three categories and the mean score per feature."""
+def feature_opinions(mentions: DataFrame, cut: float = 0.05, pain_cut: float = -0.1, fraction: float = 1.0) -> DataFrame:
+    """Per feature: mentions by sentiment category with percentages, mean score, and negative
+    mentions, scaled up when the texts were a sample of ``fraction``. One aggregate for both."""
     kind = category(F.col("sentiment_score"), ("positive", "negative", "neutral"), cut)
     counted = mentions.withColumn("kind", kind).groupBy("feature").agg(
         F.count(F.lit(1)).alias("total_mentions"),
         *[F.count_if(F.col("kind") == k).alias(k) for k in ("positive", "negative", "neutral")],
         F.avg("sentiment_score").alias("avg_sentiment"),
+        F.count_if(F.col("sentiment_score") <= pain_cut).alias("negative_mentions"),
     )
-    return counted.withColumns({
-        f"{k}_pct": percent(F.col(k), F.col("total_mentions")) for k in ("positive", "negative", "neutral")
-    })
+    shares = {f"{k}_pct": percent(F.col(k), F.col("total_mentions")) for k in ("positive", "negative", "neutral")}
+    estimate = F.floor(F.col("negative_mentions") / fraction).cast("long")
+    return counted.withColumns({**shares, "estimated_negative_mentions": estimate})
+
+
+def feature_sentiment(mentions: DataFrame, cut: float = 0.05) -> DataFrame:
+    return feature_opinions(mentions, cut).drop("negative_mentions", "estimated_negative_mentions")
 
 
 def feature_pain_points(mentions: DataFrame, cut: float = -0.1, fraction: float = 1.0) -> DataFrame:
-    """Negative mentions per feature, scaled up when the texts were a sample of ``fraction``."""
-    counted = mentions.groupBy("feature").agg(F.count_if(F.col("sentiment_score") <= cut).alias("negative_mentions"))
-    estimate = F.floor(F.col("negative_mentions") / fraction).cast("long")
-    return counted.withColumn("estimated_negative_mentions", estimate).where(F.col("negative_mentions") > 0)
+    opinions = feature_opinions(mentions, pain_cut=cut, fraction=fraction).where(F.col("negative_mentions") > 0)
+    return opinions.select("feature", "negative_mentions", "estimated_negative_mentions")
 
 
 def brand_feature_counts(
@@ -95,23 +99,31 @@ def brand_summary(matrix: DataFrame, k: int = 3) -> DataFrame:
     )
 
 
-def section(df: DataFrame, name: str, item: str, value: str, k: int, ascending: bool = False) -> DataFrame:
-    """One ranked report table of at most k rows: section, rank, item, value."""
-    top = df.select(F.col(item).alias("item"), F.col(value).cast("double").alias("value"))
-    order = [F.asc("value") if ascending else F.desc("value"), F.asc("item")]
-    ranked = top.withColumn("rank", F.row_number().over(Window.partitionBy(F.lit(name)).orderBy(*order)))
-    return ranked.where(F.col("rank") <= k).select(F.lit(name).alias("section"), "rank", "item", "value")
-
-
-def feature_report(mentions: DataFrame, sentiment: DataFrame, pain: DataFrame, brands: DataFrame) -> DataFrame:
-    """The tables behind the text report, stacked."""
-    parts = [
-        section(mentions, "most_discussed", "feature", "mentions", 10),
-        section(sentiment, "lowest_sentiment", "feature", "avg_sentiment", 5, ascending=True),
-        section(pain, "pain_points", "feature", "estimated_negative_mentions", 10),
-        section(brands, "brands", "brand", "total_mentions", 100),
-    ]
-    whole, *rest = parts
-    for part in rest:
-        whole = whole.unionByName(part)
-    return whole
+def feature_report(opinions: DataFrame, brands: DataFrame, most: int = 10, lowest: int = 5) -> DataFrame:
+    """The tables behind the text report as (section, rank, item, value): most discussed
+    features, lowest sentiment, most negative mentions, and brands.
+
+    All feature sections come from one row per feature, so the texts are scored once.
+    """
+    def section(name: str, value: str, k: int, ascending: bool = False) -> Column:
+        number = F.col(value).cast("double")
+        key = number if ascending else -number
+        return F.struct(F.lit(name).alias("section"), number.alias("value"), key.alias("key"), F.lit(k).alias("k"))
+
+    sections = F.array(
+        section("most_discussed", "total_mentions", most),
+        section("lowest_sentiment", "avg_sentiment", lowest, ascending=True),
+        section("pain_points", "estimated_negative_mentions", most),
+    )
+    features = (
+        opinions.select(F.col("feature").alias("item"), F.explode(sections).alias("s")).select("item", "s.*")
+        .where((F.col("section") != "pain_points") | (F.col("value") > 0))
+    )
+    total = F.col("total_mentions").cast("double")
+    ranked_brands = brands.select(
+        F.col("brand").alias("item"), F.lit("brands").alias("section"), total.alias("value"), (-total).alias("key"),
+        F.lit(None).cast("int").alias("k"),
+    )
+    order = Window.partitionBy("section").orderBy("key", "item")
+    ranked = features.unionByName(ranked_brands).withColumn("rank", F.row_number().over(order))
+    return ranked.where(F.col("k").isNull() | (F.col("rank") <= F.col("k"))).select("section", "rank", "item", "value")

@@ -166,7 +166,10 @@ def binary_report(predictions: DataFrame, label: str) -> DataFrame:
     roc = evaluator.setMetricName("areaUnderROC").evaluate(kept)
     pr = evaluator.setMetricName("areaUnderPR").evaluate(kept)
     metrics = evaluation.classification_metrics(kept, label, "prediction")
-    return metrics.withColumn("auc_roc", F.lit(roc)).withColumn("auc_pr", F.lit(pr))
+    row = metrics.first()
+    kept.unpersist()
+    one = predictions.sparkSession.createDataFrame([row], metrics.schema)
+    return one.withColumn("auc_roc", F.lit(roc)).withColumn("auc_pr", F.lit(pr))
 
 
 def prediction_sample(predictions: DataFrame, key: str = "id", k: int = 5000, columns: Sequence[str] = ("community", "title", "score", "log_score")) -> DataFrame:

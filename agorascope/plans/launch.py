@@ -138,9 +138,8 @@ SELECT 'volume_change_pct' AS metric, round(100.0 * (count(*) FILTER (period = '
 UNION ALL SELECT 'sentiment_change', round(avg(compound) FILTER (period = 'Post-Launch') - avg(compound) FILTER (period = 'Pre-Launch'), 6) FROM felt
 UNION ALL SELECT metric, round(value, 6) FROM front""")
 def launch_summary(spark, folder):
-    texts = _corpus(spark, folder)
     sentiment = launch.sentiment_by(_scored(spark, folder), ["period"], "total_posts")
-    return b.rounded(launch.summary(launch.volume_by_period(texts), sentiment, launch.keyword_change(_rates(spark, folder))))
+    return b.rounded(launch.summary(sentiment, launch.keyword_change(_rates(spark, folder))))
 
 
 @query("topics_by_period")

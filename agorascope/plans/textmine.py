@@ -140,15 +140,12 @@ listed AS (
   SELECT 'most_discussed' AS section, feature AS item, CAST(mentions AS DOUBLE) AS value, -mentions AS key, 10 AS k FROM mentioned
   UNION ALL SELECT 'lowest_sentiment', feature, avg_sentiment, avg_sentiment, 5 FROM sentiment
   UNION ALL SELECT 'pain_points', feature, negative_mentions, -negative_mentions, 10 FROM pain
-  UNION ALL SELECT 'brands', brand, total_mentions, -total_mentions, 100 FROM summary),
+  UNION ALL SELECT 'brands', brand, total_mentions, -total_mentions, 1000000 FROM summary),
 placed AS (SELECT *, CAST(row_number() OVER (PARTITION BY section ORDER BY key, item) AS INTEGER) AS rank FROM listed)
 SELECT section, rank, item, round(value, 6) AS value FROM placed WHERE rank <= k""")
 def feature_report(spark, folder):
-    scored = _scored_features(spark, folder)
-    return b.rounded(me.feature_report(
-        me.feature_mentions(_lowered(spark, folder), "body_lower", b.FEATURES).where("mentions > 0"),
-        me.feature_sentiment(scored), me.feature_pain_points(scored), me.brand_summary(_matrix(spark, folder)),
-    ))
+    opinions = me.feature_opinions(_scored_features(spark, folder))
+    return b.rounded(me.feature_report(opinions, me.brand_summary(_matrix(spark, folder))))
 
 
 # --- emotions -----------------------------------------------------------------------------------

@@ -12,11 +12,11 @@ from .functions.valence import ValenceLexicon
 BRAND_COMMUNITIES = ["sennheiser", "sony", "bose", "beats", "JBL", "AKG", "airpods", "bang & olufsen"]
 GENERAL_COMMUNITIES = ["headphones", "audiophile", "audio", "BudgetAudiophile", "HeadphoneAdvice", "Earbuds"]
 
-# Brands as word-bounded terms. Words shared by two brands are listed once.
+# Brands as word-bounded terms. Words shared by two brands are listed once.
 BRAND_TERMS = {
     "Apple": ["apple", "airpods", "airpod", "homepod", {"re": r"pro\s?max"}],
     "Samsung": ["samsung", {"re": r"galaxy\s?buds"}, {"re": r"buds\s?pro"}, {"re": r"buds\s?live"}, {"re": r"buds\s?\d+"}],
-    "Sony": ["sony", {"re": r"w[hf]-1000xm\d"}, {"re": r"xm\d"}, "linkbuds", {"re": r"wh-ch\d+"}],
+    "Sony": ["sony", {"re": r"wh-1000xm\d"}, {"re": r"wf-1000xm\d"}, {"re": r"xm\d"}, "linkbuds", {"re": r"wh-ch\d+"}],
     "Bose": ["bose", "quietcomfort", {"re": r"qc\s?\d+"}, "qc", "soundlink", {"re": r"sport\s?earbuds"}],
     "JBL": ["jbl", "tune", "flip", {"re": r"charge\s?\d+"}, {"re": r"go\s?\d+"}, "xtreme", "partybox"],
     "Sennheiser": ["sennheiser", {"re": r"hd\s?\d+"}, "momentum", {"re": r"ie\s?\d+"}, {"re": r"cx\s?\d+"}],

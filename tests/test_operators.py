@@ -200,6 +200,16 @@ def test_feature_without_emotion_words_keeps_a_row(spark):
     assert len(got) == 1 and got[0]["total_comments"] == 4 and got[0]["joy"] == 0 and got[0]["joy_pct"] == 0.0
 
 
+def test_launch_corpus_bounds_and_pushdown(spark, rows, tmp_path):
+    day = 86400
+    start = 1685577600  # 2023-06-01
+    data = [(1, start - 1), (2, start), (3, start + 2 * day - 1), (4, start + 2 * day), (5, (start + day) * 1000), (6, None)]
+    spark.createDataFrame([(i, e, "the product is fine", 1) for i, e in data], "id int, created_utc long, text string, score int").write.parquet(str(tmp_path / "t"))
+    found = launch.corpus(spark.read.parquet(str(tmp_path / "t")), "(?i)PRODUCT", "2023-06-01", "2023-06-02", "2023-06-02", 10)
+    assert rows(found, "id", "period") == [(2, launch.PRE), (3, launch.POST), (5, launch.POST)]
+    assert "GreaterThanOrEqual(created_utc,1685577600)" in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_keyword_change_without_earlier_mentions(spark):
     rates = spark.createDataFrame(
         [("k", launch.PRE, 0.0), ("k", launch.POST, 5.0), ("j", launch.PRE, 4.0), ("j", launch.POST, 5.0)],
