@@ -74,10 +74,10 @@ def score_distribution(posts: DataFrame) -> DataFrame:
         ]
 
     medians = grouped_median(posts, [], ["score", "num_comments"])
+    both = medians.select(F.struct("*")).scalar()
     main = posts.agg(*stats("score", "score"), *stats("num_comments", "comments"))
     return main.withColumns({
-        "median_score": medians.select("score_median").scalar(),
-        "median_comments": medians.select("num_comments_median").scalar(),
+        "median_score": both.getField("score_median"), "median_comments": both.getField("num_comments_median"),
     })
 
 
@@ -95,43 +95,37 @@ def user_counts(participation: DataFrame) -> DataFrame:
 
 
 def summary(metrics: DataFrame, distribution: DataFrame, users: DataFrame, community: str = "community") -> DataFrame:
-    """The headline figures as metric and value, both text, from the three tables above."""
-    def leader(by: str, digits: int):
-        """Name and value of the community leading ``by``, ties to the first name."""
-        best = metrics.groupBy(F.round(by, 6).alias("v")).agg(F.min(community).alias("name")).agg(
-            F.max_by(F.struct("name", "v"), "v").alias("top")
-        )
-        return best.select(F.format_string(f"%s (%.{digits}f)", "top.name", "top.v")).scalar()
-
-    def spread(c: str):
-        return F.format_string("%.2f", distribution.select(F.col(c).cast("double")).scalar())
-
+    """The headline figures as metric and value, both text. Each of the three tables is computed
+    once: the community table in one aggregate, the one-row tables as whole-row subqueries."""
+    def leader(by: str):
+        """The community leading ``by``, ties to the first name."""
+        return F.min(F.struct((-F.round(by, 6)).alias("below"), F.col(community).alias("name"))).alias(f"top_{by}")
+
+    spread = distribution.select(F.struct("*")).scalar()
+    people = users.select(F.struct("*")).scalar()
     figures = metrics.agg(
-        F.count(F.lit(1)).cast("string").alias("communities"),
-        F.sum("total_posts").cast("string").alias("posts"),
-        F.sum("num_comments_sum").cast("string").alias("comments"),
-    ).withColumns({
-        "users": users.select(F.col("unique_users").cast("string")).scalar(),
-        "multi": users.select(F.col("multi_community_users").cast("string")).scalar(),
-        "mean_score": spread("mean_score"),
-        "median_score": spread("median_score"),
-        "mean_comments": spread("mean_comments"),
-        "median_comments": spread("median_comments"),
-        "top_mean": leader("score_mean", 2),
-        "top_median": leader("num_comments_median", 1),
-    })
-    names = {
-        "communities": "Total Communities",
-        "posts": "Total Posts",
-        "comments": "num_comments_sum",
-        "users": "Unique Users",
-        "multi": "Multi-Community Users",
-        "mean_score": "Overall Mean Score",
-        "median_score": "Overall Median Score",
-        "mean_comments": "Overall Mean Comments",
-        "median_comments": "Overall Median Comments",
-        "top_mean": "Top Community (Mean Score)",
-        "top_median": "Top Community (Median Comments)",
+        F.count(F.lit(1)).alias("communities"),
+        F.sum("total_posts").alias("posts"),
+        F.sum("num_comments_sum").alias("comments"),
+        leader("score_mean"),
+        leader("num_comments_median"),
+    ).withColumn("spread", spread).withColumn("people", people)
+
+    def named(by: str, digits: int) -> str:
+        return f"format_string('%s (%.{digits}f)', top_{by}.name, -top_{by}.below)"
+
+    values = {
+        "Total Communities": "string(communities)",
+        "Total Posts": "string(posts)",
+        "num_comments_sum": "string(comments)",
+        "Unique Users": "string(people.unique_users)",
+        "Multi-Community Users": "string(people.multi_community_users)",
+        "Overall Mean Score": "format_string('%.2f', spread.mean_score)",
+        "Overall Median Score": "format_string('%.2f', spread.median_score)",
+        "Overall Mean Comments": "format_string('%.2f', spread.mean_comments)",
+        "Overall Median Comments": "format_string('%.2f', spread.median_comments)",
+        "Top Community (Mean Score)": named("score_mean", 2),
+        "Top Community (Median Comments)": named("num_comments_median", 1),
     }
-    pairs = ", ".join(f"'{label}', {c}" for c, label in names.items())
-    return figures.select(F.expr(f"stack({len(names)}, {pairs}) as (metric, value)"))
+    pairs = ", ".join(f"'{label}', {value}" for label, value in values.items())
+    return figures.select(F.expr(f"stack({len(values)}, {pairs}) as (metric, value)"))
