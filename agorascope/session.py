@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -38,12 +38,16 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh path for written intermediate tables.
 
-    On a cluster this lies in the shared folder named by ``spark.checkpoint.dir``, so that
-    every executor reaches it and the table outlives lost executors. A local temporary
-    folder is used only where that setting is absent, as in tests.
+    It lies in the shared folder named by ``spark.checkpoint.dir``, so that every executor
+    reaches it and the table outlives lost executors. Only a session in one process, as in
+    tests, may leave that setting out; a cluster without it is an error, since a folder of the
+    driver's machine would not be seen by the executors.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if not re.match(r"local($|\[)", master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="agorascope-")
         spark.conf.set("spark.checkpoint.dir", root)
-    return os.path.join(root, f"{label}-{uuid.uuid4().hex}")
+    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
