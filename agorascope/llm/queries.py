@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_dir, use_utc
-from . import tokenbin
+from . import packing, simhash, tokenbin
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,3 +32,15 @@ def op6_token_blocks(spark, folder):
     path = scratch_dir(spark, "token-blocks")
     tokenbin.write_ids(read(spark, folder, "documents"), path, public_tokenizers.path(WORD_BPE), end_id=1)
     return tokenbin.read_documents(spark, path)
+
+
+@query
+def op10_lexical_packing(spark, folder):
+    """All documents, each ended by id 2, in windows of 4096 tokens among their lexical neighbours."""
+    return packing.pack_documents(read(spark, folder, "documents"), public_tokenizers.path(WORD_BPE), end_id=2)
+
+
+@query
+def op4_simhash_groups(spark, folder):
+    """Fingerprints of all documents and the groups that four differing bits link."""
+    return simhash.near_duplicates(read(spark, folder, "documents"))
