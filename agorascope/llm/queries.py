@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_dir, use_utc
-from . import packing, simhash, tokenbin
+from . import decontaminate, packing, simhash, sql, tokenbin
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -17,12 +17,14 @@ ORACLES: dict[str, str] = {}
 WORD_BPE = "word_bpe_49k.json"
 
 
-def query(fn: Callable[[SparkSession, str], DataFrame]):
+def query(fn: Callable[[SparkSession, str], DataFrame], sql: str | None = None):
     def run(spark: SparkSession, folder: str) -> DataFrame:
         return fn(use_utc(spark), folder)
 
     run.__name__, run.__doc__ = fn.__name__, fn.__doc__
     QUERIES[fn.__name__] = run
+    if sql is not None:
+        ORACLES[fn.__name__] = sql
     return fn
 
 
@@ -44,3 +46,16 @@ def op10_lexical_packing(spark, folder):
 def op4_simhash_groups(spark, folder):
     """Fingerprints of all documents and the groups that four differing bits link."""
     return simhash.near_duplicates(read(spark, folder, "documents"))
+
+
+def op2_benchmark_hits(spark, folder):
+    """Words of each document that lie in 13-word windows of the benchmark."""
+    hits = decontaminate.judged(decontaminate.benchmark_hits(read(spark, folder, "documents"), read(spark, folder, "benchmark")))
+    names = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
+    return hits.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(names, 256).alias("items_sha256"), "contaminated",
+    )
+
+
+query(op2_benchmark_hits, sql.BENCHMARK_HITS)
