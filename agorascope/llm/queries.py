@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_dir, use_utc
-from . import decontaminate, packing, simhash, sql, tokenbin
+from . import decontaminate, packing, simhash, sql, tokenbin, urlfilter
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,3 +59,19 @@ def op2_benchmark_hits(spark, folder):
 
 
 query(op2_benchmark_hits, sql.BENCHMARK_HITS)
+
+
+ALLOW = ["org/", "com/fr/"]
+BLOCK = ["example.org/es/", "example.org/en/1", "com/de/"]
+UNWANTED = ["ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm"]
+BLOCKED_HOSTS = [f"{name}.example.{top}" for name in UNWANTED for top in ("com", "net", "org")]
+
+
+def op1_url_filter(spark, folder):
+    """A verdict on every page's URL, by rules and else by a list of hosts."""
+    pages = read(spark, folder, "pages").select("page_id", "url")
+    hosts = spark.createDataFrame([(h,) for h in BLOCKED_HOSTS], "key string")
+    return urlfilter.judge_urls(pages, ALLOW, BLOCK, hosts).select("page_id", "host", "path", "rule", "verdict")
+
+
+query(op1_url_filter, sql.url_filter(ALLOW, BLOCK, BLOCKED_HOSTS))

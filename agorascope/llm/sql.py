@@ -24,3 +24,26 @@ SELECT doc_id, CAST(coalesce(len(w), 0) AS BIGINT) AS n_words, CAST(coalesce(n_h
     coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= coalesce(len(w), 0) AS contaminated
 FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)
 """
+
+
+def url_filter(allow: list[str], block: list[str], hosts: list[str]) -> str:
+    rules = ", ".join(f"('{k}', '{v}')" for v, keys in (("allow", allow), ("block", block)) for k in keys)
+    listed = " OR ".join(f"host = '{h}' OR ends_with(host, '.{h}')" for h in hosts)
+    return rf"""
+WITH u AS (
+    SELECT page_id,
+        coalesce(translate(regexp_extract(url, '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+        coalesce(regexp_extract(url, '://([^/?#]*)([^?#]*)', 2), '') AS path
+    FROM pages
+), r AS (
+    SELECT rule, verdict, split_part(rule, '/', 1) AS rhost, substr(rule, strpos(rule, '/')) AS rpath FROM (VALUES {rules}) AS t(rule, verdict)
+), m AS (
+    SELECT *, (
+        SELECT arg_max({{'rule': rule, 'verdict': r.verdict}}, length(rule)) FROM r
+        WHERE (u.host = rhost OR ends_with(u.host, '.' || rhost)) AND starts_with(u.path, rpath)
+    ) AS best FROM u
+)
+SELECT page_id, host, path, best.rule AS rule,
+    coalesce(best.verdict, CASE WHEN {listed} THEN 'block' ELSE 'allow' END) AS verdict
+FROM m
+"""
