@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_dir, use_utc
-from . import decontaminate, packing, simhash, sql, tokenbin, urlfilter
+from . import decontaminate, langid, packing, simhash, sql, tokenbin, urlfilter
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +75,17 @@ def op1_url_filter(spark, folder):
 
 
 query(op1_url_filter, sql.url_filter(ALLOW, BLOCK, BLOCKED_HOSTS))
+
+
+def fold(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``part``, the remainder by 5 of the CRC-32 of the id as text (0 for no id)."""
+    return docs.withColumn("part", F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5, F.lit(0)))
+
+
+@query
+def op8_language_id(spark, folder):
+    """The language of every document, learned from four fifths of them."""
+    docs = fold(read(spark, folder, "documents"))
+    model = langid.fit(docs.where("part <> 0").select("lang", "text"))
+    found = langid.identify(docs.select("doc_id", "part", "text"), model)
+    return found.select("doc_id", (F.col("part") == 0).alias("held_out"), "lang_pred", "score")
