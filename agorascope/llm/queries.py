@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_dir, use_utc
-from . import decontaminate, langid, packing, simhash, sql, tokenbin, urlfilter
+from . import decontaminate, langid, licenses, packing, simhash, sql, tokenbin, urlfilter
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +89,18 @@ def op8_language_id(spark, folder):
     model = langid.fit(docs.where("part <> 0").select("lang", "text"))
     found = langid.identify(docs.select("doc_id", "part", "text"), model)
     return found.select("doc_id", (F.col("part") == 0).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op5_license_scan(spark, folder):
+    """Base phrases and licence labels of every document; the score joins the weights of its detections."""
+    found = licenses.scan_licenses(read(spark, folder, "documents"))
+    starts, base = F.transform("base", lambda b: b["first"]), F.transform("base", lambda b: b["label"])
+    labels = F.concat(base, F.transform("detections", lambda d: d["label"]))
+    joined = lambda names: F.array_join(F.array_sort(F.array_distinct(names)), ",")
+    unlikely = F.aggregate("detections", F.lit(1.0), lambda p, d: p * (1 - d["weight"]))
+    return found.select(
+        "doc_id", "n_words", F.size("base").cast("bigint").alias("n_base"),
+        F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        joined(base).alias("base_labels"), joined(labels).alias("labels"), (1 - unlikely).alias("score"),
+    )
