@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_dir, use_utc
-from . import decontaminate, langid, licenses, packing, simhash, sql, tokenbin, urlfilter
+from . import decontaminate, langid, licenses, onebit, packing, simhash, sql, tokenbin, urlfilter
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,3 +104,9 @@ def op5_license_scan(spark, folder):
         F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
         joined(base).alias("base_labels"), joined(labels).alias("labels"), (1 - unlikely).alias("score"),
     )
+
+
+@query
+def op9_nearest_vectors(spark, folder):
+    """The five nearest of every fiftieth vector among all others."""
+    return onebit.nearest(read(spark, folder, "embeddings"), divisor=50, k=5)
