@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_dir, use_utc
-from . import decontaminate, langid, licenses, onebit, packing, simhash, sql, tokenbin, urlfilter
+from . import classlm, decontaminate, langid, licenses, onebit, packing, simhash, sql, tokenbin, urlfilter
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,3 +110,11 @@ def op5_license_scan(spark, folder):
 def op9_nearest_vectors(spark, folder):
     """The five nearest of every fiftieth vector among all others."""
     return onebit.nearest(read(spark, folder, "embeddings"), divisor=50, k=5)
+
+
+@query
+def op7_class_model(spark, folder):
+    """log10 probabilities of all documents, learned from four fifths of them."""
+    docs = fold(read(spark, folder, "documents")).withColumn("train", F.col("part") != 1)
+    found = classlm.score_documents(docs)
+    return found.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
