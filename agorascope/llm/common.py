@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from ..session import scratch_dir
 
@@ -46,7 +50,7 @@ def reach_workers(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = ":".join(filter(None, [environment.get("PYTHONPATH"), root]))
 
 
-def arrow_map(df: DataFrame, fn, schema: str) -> DataFrame:
+def arrow_map(df: DataFrame, fn, schema: str | StructType) -> DataFrame:
     """``df.mapInArrow`` with workers that can import this library."""
     reach_workers(df.sparkSession)
     return df.mapInArrow(fn, schema)
@@ -57,9 +61,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
     The files outlive the executors that wrote them, so nothing before them runs again.
     """
-    path = scratch_dir(df.sparkSession, label)
+    spark = df.sparkSession
+    path = scratch_dir(spark, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    # Shuffle files stay until the driver's collector finds that nothing needs them: ask it to look,
+    # so that a job of many steps doesn't hold the shuffles of all of them.
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
@@ -69,6 +78,13 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBa
             yield batch.slice(start, rows)
 
 
-def input_bytes(df: DataFrame) -> int:
-    """Size of the files that a frame is read from, as the optimiser knows it; no job runs."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def text_slices(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterator[pa.RecordBatch]:
+    """The batches, cut so that a part's texts have at most so many bytes, or it is one row."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        ends, start = np.cumsum(sizes), 0
+        while start < batch.num_rows:
+            before = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + most, "right")))
+            yield batch.slice(start, stop - start)
+            start = stop

@@ -26,6 +26,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from .common import arrow_map, slices, stored
 
@@ -149,7 +150,6 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     # A row's other columns pass through, so that no join is needed.
     kept = docs.drop("lang_pred", "score")
     names, at = kept.columns, kept.columns.index("text")
-    fields = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in kept.schema.fields)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = sent.value
@@ -158,4 +158,5 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
             columns = [*batch.columns, pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
             yield pa.record_batch(columns, [*names, "lang_pred", "score"])
 
-    return arrow_map(kept, judge, f"{fields}, lang_pred string, score double")
+    schema = StructType([*kept.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    return arrow_map(kept, judge, schema)

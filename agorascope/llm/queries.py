@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_dir, use_utc
-from . import classlm, decontaminate, langid, licenses, onebit, packing, simhash, sql, tokenbin, urlfilter
+from . import classlm, decontaminate, langid, licenses, onebit, packing, simhash, sql, suffixdedup, tokenbin, urlfilter
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -118,3 +118,14 @@ def op7_class_model(spark, folder):
     docs = fold(read(spark, folder, "documents")).withColumn("train", F.col("part") != 1)
     found = classlm.score_documents(docs)
     return found.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query
+def op3_repeated_passages(spark, folder):
+    """What stays of every document without the 50-byte strings that earlier documents have."""
+    found = suffixdedup.repeated_passages(read(spark, folder, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda total, s: total + s["stop"] - s["start"])
+    return found.withColumn("n_removed", removed).select(
+        "doc_id", (F.octet_length("kept") + F.col("n_removed")).alias("n_bytes"), "n_removed",
+        F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
