@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .common import arrow_map, slices
+from .common import arrow_map, slices, stored
 from .encoder import encoder
 
 WINDOW = 4096
@@ -196,7 +196,8 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, window: int = W
         close()
         yield from flush(True)
 
-    tokens = arrow_map(docs.select("doc_id", "text"), tokenise, TAILS)
+    # Dealing by ranges reads its input twice, so the ids are written first.
+    tokens = stored(arrow_map(docs.select("doc_id", "text"), tokenise, TAILS), "tokens")
     # The order within a signature is by document, so that a group of copies can be cut anywhere.
     dealt = tokens.repartitionByRange("signature", "doc_id").sortWithinPartitions("signature", "doc_id", "doc_tokens", "ids")
     return arrow_map(dealt, deal, PIECES)
