@@ -35,6 +35,11 @@ def space_words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
 
 
+def column(name: str) -> Column:
+    """A column by its name, whatever signs that has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{table}.parquet")
 

@@ -45,7 +45,7 @@ def op10_lexical_packing(spark, folder):
 @query
 def op4_simhash_groups(spark, folder):
     """Fingerprints of all documents and the groups that four differing bits link."""
-    return simhash.near_duplicates(read(spark, folder, "documents"))
+    return simhash.near_duplicates(read(spark, folder, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
 def op2_benchmark_hits(spark, folder):

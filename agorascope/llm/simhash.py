@@ -53,14 +53,15 @@ def fingerprint(text: str | None, words: int = SHINGLE_WORDS, seed: int = SEED)
 
 
 def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS, seed: int = SEED) -> DataFrame:
-    """``doc_id`` and fingerprint, as a signed number, of every row."""
+    """``doc_id``, a hash of the text, and the fingerprint, as a signed number, of every row."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1024):
             codes = np.array([fingerprint(t.as_py(), words, seed) for t in batch.column(1)], np.uint64)
-            yield pa.record_batch([batch.column(0).cast(pa.int64()), pa.array(codes.view(np.int64))], ["doc_id", "code"])
+            yield pa.record_batch([batch.column(0), batch.column(2), pa.array(codes.view(np.int64))], ["doc_id", "text_hash", "code"])
 
-    return arrow_map(docs.select("doc_id", "text"), sign, "doc_id bigint, code bigint")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
+    return arrow_map(rows, sign, "doc_id bigint, text_hash bigint, code bigint")
 
 
 def forest(codes: np.ndarray, distance: int = DISTANCE) -> tuple[np.ndarray, np.ndarray]:
@@ -180,12 +181,21 @@ def near_links(codes: DataFrame, distance: int = DISTANCE) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, seed: int = SEED, distance: int = DISTANCE) -> DataFrame:
-    """One row for each document: ``doc_id``, ``fingerprint`` in hexadecimal, ``component_id``."""
+    """One row for each document: ``doc_id, text_hash, fingerprint`` in hexadecimal, ``component_id`` and ``component``, a number of its own for each."""
     signed = stored(fingerprints(docs, words, seed), "fingerprints")
     codes = stored(signed.groupBy("code").agg(F.min("doc_id").alias("low")), "codes")
     roots = components(near_links(codes, distance))
-    placed = codes.join(roots, codes["code"] == roots["node"], "left").select("code", "low", F.coalesce("root", "code").alias("root"))
-    lowest = placed.groupBy("root").agg(F.min("low").alias("component_id"))
-    of_code = placed.select("code", "root").join(lowest, "root").select("code", "component_id")
+    placed = codes.join(roots, codes["code"] == roots["node"], "left").select("code", "low", F.coalesce("root", "code").alias("component"))
+    lowest = placed.groupBy("component").agg(F.min("low").alias("component_id"))
+    of_code = placed.select("code", "component").join(lowest, "component")
     hexadecimal = F.lower(F.lpad(F.hex("code"), 16, "0"))
-    return signed.join(of_code, "code").select("doc_id", hexadecimal.alias("fingerprint"), "component_id")
+    return signed.join(of_code, "code").select("doc_id", "text_hash", hexadecimal.alias("fingerprint"), "component_id", "component")
+
+
+def first_of_groups(docs: DataFrame, words: int = SHINGLE_WORDS, seed: int = SEED, distance: int = DISTANCE) -> DataFrame:
+    """One row of each component of ``docs``: that with the smallest ``doc_id``, ties by the text's hash; ids before null ones."""
+    groups = near_duplicates(docs, words, seed, distance)
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("least")
+    first = groups.groupBy("component").agg(least).select(F.col("least.doc_id").alias("_first_id"), F.col("least.text_hash").alias("_first_hash"))
+    same = docs["doc_id"].cast("bigint").eqNullSafe(first["_first_id"]) & (F.xxhash64(docs["text"]) == first["_first_hash"])
+    return docs.join(first, same, "left_semi").dropDuplicates(["doc_id", "text"])

@@ -25,7 +25,8 @@ these lists are bounded by its text, however many copies there are.
 
 Defined cases: a null text is empty; a null ``doc_id`` is before all others; rows with one ``doc_id``
 are one document's, and don't repeat each other; texts under 50 bytes, and empty tables, have
-nothing to remove; all other columns but ``spans`` and ``kept`` pass through.
+nothing to remove; all other columns pass through, but for
+such with names of the three added ones.
 """
 
 from __future__ import annotations
@@ -35,10 +36,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
+from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructField, StructType
 
-from .common import arrow_map, stored, text_slices
+from .common import arrow_map, column, stored, text_slices
 
 LENGTH = 50
 GRAM = 12
@@ -323,7 +324,7 @@ def _sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 _SPAN = StructType([StructField("start", LongType()), StructField("stop", LongType())])
-_APPLIED = [StructField("spans", ArrayType(_SPAN)), StructField("kept", BinaryType())]
+_APPLIED = [StructField("spans", ArrayType(_SPAN)), StructField("kept", BinaryType()), StructField("kept_text", StringType())]
 
 
 def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -356,11 +357,12 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             cuts = [0, *(x for pair in zip(starts, stops) for x in pair), b - a]
             kept.append(b"".join(parse.bytes[a + s : a + e] for s, e in zip(cuts[::2], cuts[1::2])))
         kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
-        yield pa.record_batch([batch.column("rest"), pa.array(spans, kind), pa.array(kept, pa.binary())], ["rest", "spans", "kept"])
+        texts = pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string())
+        yield pa.record_batch([batch.column("rest"), pa.array(spans, kind), pa.array(kept, pa.binary()), texts], ["rest", "spans", "kept", "kept_text"])
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
-    """``docs`` without ``text``, with ``spans`` of bytes that repeat and the bytes ``kept``."""
+    """``docs`` without ``text``, with ``spans`` of bytes that repeat, the bytes ``kept``, and these as ``kept_text``, without characters of which a part went."""
     key = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(FIRST_KEY))
     texts = docs.select(key.alias("key"), F.col("text").cast("binary").alias("text"))
     phrases = arrow_map(texts, _long, "phrase binary, key bigint").groupBy("phrase").agg(F.min("key").alias("key"))
@@ -378,11 +380,11 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     sorted_ = arrow_map(dictionary.repartition("trigger").sortWithinPartitions("trigger", "phrase", "key"), _sort, _FIRSTS)
     firsts = _with_large(stored(sorted_, "suffixes"))
     lists = firsts.groupBy("key").agg(F.collect_list(F.struct("phrase", "mask")).alias("firsts"))
-    names = [c for c in docs.columns if c.lower() not in ("text", "spans", "kept")]
-    rest = F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in names]).alias("rest")
+    names = [c for c in docs.columns if c.lower() not in ("text", "spans", "kept", "kept_text")]
+    rest = F.struct(*map(column, names)).alias("rest")
     whole = docs.select(key.alias("key"), F.col("text").cast("binary").alias("text"), rest)
     schema = StructType([whole.schema["rest"], *_APPLIED])
-    return arrow_map(parsed(whole).join(lists, "key", "left"), _apply, schema).select("rest.*", "spans", "kept")
+    return arrow_map(parsed(whole).join(lists, "key", "left"), _apply, schema).select("rest.*", "spans", "kept", "kept_text")
 
 
 def _with_large(sorted_: DataFrame) -> DataFrame:
@@ -392,8 +394,3 @@ def _with_large(sorted_: DataFrame) -> DataFrame:
     flag = F.when(F.col("least") < F.col("key"), F.expr("shiftleft(1L, nth)")).otherwise(F.lit(0).cast("bigint"))
     masks = strings.join(least, "string").groupBy("key", "phrase").agg(F.bit_or(flag).alias("mask"))
     return sorted_.where("string is null").select("key", "phrase", "mask").union(masks)
-
-
-def kept_text(kept: Column) -> Column:
-    """What stays as text, without characters of which a part went."""
-    return F.decode(kept, "UTF-8")
