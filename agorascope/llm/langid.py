@@ -18,13 +18,15 @@ ones aren't read.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
@@ -81,45 +83,63 @@ def frequent_shares(counts: DataFrame, unit: str, cutoff: float) -> DataFrame:
 
 @dataclass
 class Model:
-    """Scores by language of known words and n-grams."""
+    """Scores by language of known words and n-grams: rows of a table, and tuples."""
 
     languages: list[str]
-    words: dict[str, np.ndarray]
-    grams: dict[str, np.ndarray]
+    words: dict[str, int]
+    table: np.ndarray
+    grams: dict[str, tuple[float, ...]]
     longest: int
-    memo: dict[str, np.ndarray | None] = field(default_factory=dict)
-
-    def word(self, word: str) -> np.ndarray | None:
-        got = self.words.get(word)
-        if got is not None:
-            return got
-        if word in self.memo:
-            return self.memo[word]
-        got, padded = None, f" {word} "
+
+    def unseen(self, word: str) -> tuple[float, ...] | None:
+        """The score of a word that no language has, from its longest known n-grams."""
+        padded, grams = f" {word} ", self.grams.get
         for size in range(min(self.longest, len(padded)), 0, -1):
-            known = [g for g in (self.grams.get(padded[i : i + size]) for i in range(len(padded) - size + 1)) if g is not None]
+            known = [g for g in [grams(padded[i : i + size]) for i in range(len(padded) - size + 1)] if g is not None]
             if known:
-                got = np.mean(known, axis=0)
-                break
-        if len(self.memo) < HELD:
-            self.memo[word] = got
-        return got
+                return tuple(sum(x) / len(known) for x in zip(*known))
+        return None
+
+
+class Judge:
+    """A model at work in a task: unseen words' scores are kept, up to ``HELD``, as rows after the known words'."""
+
+    def __init__(self, model: Model):
+        self.model = model
+        count = len(model.words)
+        self.rows = np.zeros((count + HELD + 1, len(model.languages) + 1))  # the last column counts words with a score
+        self.rows[:count, :-1] = model.table
+        self.rows[:count, -1] = 1
+        self.places = dict(model.words)
+
+    def place(self, word: str) -> int:
+        """The row of a word that has none yet; the last row is used again once all others are."""
+        at = min(len(self.places), len(self.rows) - 1)
+        got = self.model.unseen(word)
+        self.rows[at] = 0 if got is None else (*got, 1)
+        if at < len(self.rows) - 1:
+            self.places[word] = at
+        return at
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        found = words_of(text)
-        if not found or not self.languages:
+        model, found = self.model, words_of(text)
+        if not found or not model.languages:
             return UNKNOWN, 0.0
-        total, n = np.zeros(len(self.languages)), 0
-        for word, times in Counter(found).items():
-            got = self.word(word)
-            if got is not None:
-                total += times * got
-                n += times
-        if not n:
-            total, n = total + PENALTY, 1  # letters, but none that any language has
-        odds = 10.0 ** (total / n - (total / n).max())
+        get, extra, at = self.places.get, 0, []
+        for word in found:
+            row = get(word)
+            if row is None:
+                row = self.place(word)
+                if row == len(self.rows) - 1:
+                    extra = extra + self.rows[row]
+                    continue
+            at.append(row)
+        total = self.rows[at].sum(axis=0) + extra
+        # Letters, but none that any language has, speak for all languages alike.
+        mean = total[:-1] / total[-1] if total[-1] else total[:-1]
+        odds = 10.0 ** (mean - mean.max())
         best = int(np.argmax(odds))
-        return self.languages[best], float(odds[best] / odds.sum())
+        return model.languages[best], float(odds[best] / odds.sum())
 
 
 def fit(labelled: DataFrame, cutoff: float = CUTOFF, longest: int = LONGEST) -> Model:
@@ -135,13 +155,25 @@ def fit(labelled: DataFrame, cutoff: float = CUTOFF, longest: int = LONGEST) ->
     rows = words.union(frequent_shares(grams, "word", cutoff)).collect()
     languages = sorted({r.lang for r in rows})
     place = {lang: i for i, lang in enumerate(languages)}
-    tables: tuple[dict[str, np.ndarray], dict[str, np.ndarray]] = ({}, {})
+    tables: tuple[dict[str, list[float]], dict[str, list[float]]] = ({}, {})
     for lang, unit, size, p in rows:
-        table = tables[size > 0]
-        if unit not in table:
-            table[unit] = np.full(len(languages), PENALTY)
-        table[unit][place[lang]] = max(PENALTY, np.log10(p))
-    return Model(languages, *tables, longest)
+        scores = tables[size > 0].setdefault(unit, [PENALTY] * len(languages))
+        scores[place[lang]] = max(PENALTY, math.log10(p))
+    words, grams = tables
+    table = np.array(list(words.values())).reshape(len(words), len(languages))
+    return Model(languages, {w: i for i, w in enumerate(words)}, table, {g: tuple(x) for g, x in grams.items()}, longest)
+
+
+_JUDGES: dict[int, Judge] = {}
+
+
+def _judge(sent: Broadcast) -> Judge:
+    """The judge of a worker, which serves many tasks: that of the last model."""
+    model = sent.value
+    if id(model) not in _JUDGES:
+        _JUDGES.clear()
+        _JUDGES[id(model)] = Judge(model)
+    return _JUDGES[id(model)]
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
@@ -152,7 +184,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     names, at = kept.columns, kept.columns.index("text")
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = sent.value
+        own = _judge(sent)
         for batch in slices(batches, 1024):
             found = [own.predict(t.as_py()) for t in batch.column(at)]
             columns = [*batch.columns, pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
