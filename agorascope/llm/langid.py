@@ -30,7 +30,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from .common import arrow_map, slices, stored
+from .common import arrow_map, column, slices, stored
 
 LONGEST = 6
 CUTOFF = 2e-5
@@ -177,18 +177,21 @@ def _judge(sent: Broadcast) -> Judge:
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``; only ``text`` is looked at."""
+    """``docs`` with ``lang_pred`` and ``score``, which replace columns of these names; only ``text`` is looked at."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
     # A row's other columns pass through, so that no join is needed.
-    kept = docs.drop("lang_pred", "score")
-    names, at = kept.columns, kept.columns.index("text")
+    others = [c for c in docs.columns if c.lower() not in ("text", "lang_pred", "score")]
+    rows = docs.select("text", F.struct(*map(column, others), F.lit(True).alias("_row")).alias("row"))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _judge(sent)
         for batch in slices(batches, 1024):
-            found = [own.predict(t.as_py()) for t in batch.column(at)]
-            columns = [*batch.columns, pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
-            yield pa.record_batch(columns, [*names, "lang_pred", "score"])
-
-    schema = StructType([*kept.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
-    return arrow_map(kept, judge, schema)
+            found = [own.predict(t.as_py()) for t in batch.column(0)]
+            yield pa.record_batch(
+                [*batch.columns, pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
+                ["text", "row", "lang_pred", "score"],
+            )
+
+    schema = StructType([*rows.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    found = arrow_map(rows, judge, schema)
+    return found.select("text", "row.*", "lang_pred", "score").drop("_row")

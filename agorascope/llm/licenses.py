@@ -52,7 +52,7 @@ def read_rules(text: str = RULES) -> dict[bytes, list[Rule]]:
         compiled = re.compile(b"(?<= )(?:" + spelled.encode() + b")(?= )")
         if alnum_words(keyword) != [keyword.encode()] or compiled.search(b"  "):
             raise ValueError(f"not a rule: {line}")
-        rules.setdefault(keyword.encode(), []).append(Rule(rank, label.replace("LICd", "licensed"), float(weight), compiled))
+        rules.setdefault(keyword.encode(), []).append(Rule(rank, label, float(weight), compiled))
     return rules
 
 
