@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import re
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -55,9 +56,17 @@ def reach_workers(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = ":".join(filter(None, [environment.get("PYTHONPATH"), root]))
 
 
+#: Bytes of rows that Spark hands to a Python worker at once; texts of any length then need little memory.
+ARROW_BYTES = 4 << 20
+_ARROW_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def arrow_map(df: DataFrame, fn, schema: str | StructType) -> DataFrame:
-    """``df.mapInArrow`` with workers that can import this library."""
-    reach_workers(df.sparkSession)
+    """``df.mapInArrow`` with workers that can import this library, and batches of at most ``ARROW_BYTES`` or the session's lower limit."""
+    spark = df.sparkSession
+    reach_workers(spark)
+    if not 0 < int(re.sub(r"\D", "", spark.conf.get(_ARROW_LIMIT)) or 0) <= ARROW_BYTES:
+        spark.conf.set(_ARROW_LIMIT, str(ARROW_BYTES))
     return df.mapInArrow(fn, schema)
 
 

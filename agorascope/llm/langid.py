@@ -38,7 +38,7 @@ CUTOFF = 2e-5
 PENALTY = -7.0
 UNKNOWN = "und"
 #: Distinct words that a task counts before it hands them on.
-HELD = 400_000
+HELD = 200_000
 
 _WORDS = re.compile(r"[^\W\d_]+")
 _COUNTS = "lang string, word string, n bigint"

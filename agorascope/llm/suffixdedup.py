@@ -49,7 +49,7 @@ GROUP = 50_000
 #: Short phrases that a task holds before it hands them on, and strings that it sorts at once.
 HELD, SORTED = 100_000, 300_000
 #: Bytes of texts that are parsed together, unless one text is longer.
-BATCH_BYTES = 2_000_000
+BATCH_BYTES = 250_000
 FIRST_KEY = -(1 << 63)
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -76,24 +76,20 @@ def rolling_hashes(data: np.ndarray, gram: int = GRAM) -> np.ndarray:
 
 
 def smallest_places(h: np.ndarray, width: int) -> np.ndarray:
-    """For each run of ``width`` hashes the place of the smallest, the first of equal ones."""
-    place, value, size = np.arange(len(h), dtype=np.int32), h, 1
-    done_place = done_value = None
-    skipped = 0
-    while True:  # spans of 1, 2, 4, ... hashes, joined to one of ``width``
+    """For each run of ``width`` hashes the place of the smallest by its upper 32 bits, the first of equal ones."""
+    least = (h & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(h), dtype=np.uint64)
+    done, skipped, size = None, 0, 1
+    while True:  # minima over 1, 2, 4, ... hashes, joined to one over ``width``
         if width & size:
-            if done_place is None:
-                done_place, done_value = place, value
+            if done is None:
+                done = least
             else:
-                right_value, right_place = value[skipped : skipped + len(done_value)], place[skipped : skipped + len(done_value)]
-                m = len(right_value)
-                less = right_value < done_value[:m]
-                done_place, done_value = np.where(less, right_place, done_place[:m]), np.where(less, right_value, done_value[:m])
+                right = least[skipped : skipped + len(done)]
+                done = np.minimum(done[: len(right)], right)
             skipped += size
         if 2 * size > width:
-            return done_place[: len(h) - width + 1]
-        less = value[size:] < value[:-size]
-        place, value = np.where(less, place[size:], place[:-size]), np.where(less, value[size:], value[:-size])
+            return (done[: len(h) - width + 1] & np.uint64(0xFFFFFFFF)).astype(np.int32)
+        least = np.minimum(least[size:], least[:-size])
         size *= 2
 
 
@@ -198,12 +194,11 @@ def _wanted(parse: Parse, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray
     firsts, lasts = parse.short_phrases(parse.trigger >= 0)
     h, of = parse.hashes[parse.trigger[firsts]].view(np.int64), parse.document(firsts)
     known = batch.column("triggers")
-    offsets, flat = known.offsets.to_numpy(), known.values.to_numpy()
-    bounds = np.searchsorted(of, np.arange(len(parse.ends) + 1))
-    common = np.zeros(len(firsts), bool)
-    for i in np.unique(of).tolist():
-        own = slice(bounds[i], bounds[i + 1])
-        common[own] = np.isin(h[own], flat[offsets[i] : offsets[i + 1]])
+    # Looked up for all documents at once: hashes are mixed with the document's number. Should two mixtures
+    # be alike by chance, a phrase more goes into the dictionary.
+    sizes = known.value_lengths().to_numpy()
+    mix = lambda values, docs: values ^ (docs.astype(np.int64) * np.int64(0x2545F4914F6CDD1D))
+    common = np.isin(mix(h, of), mix(known.flatten().to_numpy(), np.repeat(np.arange(len(sizes)), sizes)))
     shared = np.zeros(len(parse.bytes), bool)
     shared[parse.trigger >= 0] = np.repeat(common, lasts - firsts + 1)
     return fresh, fresh & shared
