@@ -7,7 +7,7 @@ forms fix where it runs.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -17,6 +17,16 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def named(name: str) -> Column:
+    """A column by its name, whatever signs that has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def as_rows(fields: Sequence[str], rows: Sequence[Sequence[Column]]) -> Column:
+    """Columns of one row as several rows with the given fields. No name is read as SQL."""
+    return F.inline(F.array(*[F.struct(*[value.alias(field) for field, value in zip(fields, row)]) for row in rows]))
+
+
 def add_kept(df: DataFrame, name: str, value: Column, keep: Callable[[Column], Column]) -> DataFrame:
     """Add a computed column and drop the rows whose value fails ``keep``.
 

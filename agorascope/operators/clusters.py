@@ -50,21 +50,23 @@ def kmeans_sweep(vectors: DataFrame, columns: Sequence[str], ks: Sequence[int] =
     """Inertia and silhouette per k over all rows, with the best k by silhouette marked.
 
     ``on_boundary`` says that the best k is the largest tried, so the range was too short.
-    Only k below the number of distinct vectors are tried.
+    There is a row for each k. One that can't be fitted, since there are no more distinct vectors than
+    clusters or fewer than two clusters, has ``tried`` false and null measures.
     """
     points = weighted_points(vectors, columns).persist(StorageLevel.MEMORY_AND_DISK)
     distinct = points.count()
     evaluator = ClusteringEvaluator(featuresCol="features", predictionCol="cluster", weightCol="weight")
     rows = []
-    for k in (k for k in ks if k < distinct):
+    for k in (k for k in ks if 1 < k < distinct):
         model = fit_kmeans(points, k, seed)
         rows.append((k, float(model.summary.trainingCost), float(evaluator.evaluate(model.transform(points)))))
     points.unpersist()
     best = max(rows, key=lambda r: (r[2], -r[0]))[0] if rows else None
     last = max(ks)
-    marked = [(*row, row[0] == best, row[0] == best == last) for row in rows]
+    measured = {k: (cost, score) for k, cost, score in rows}
+    marked = [(k, *measured.get(k, (None, None)), k in measured, k == best, k == best == last) for k in ks]
     return vectors.sparkSession.createDataFrame(
-        marked, "k int, inertia double, silhouette double, is_best boolean, on_boundary boolean"
+        marked, "k int, inertia double, silhouette double, tried boolean, is_best boolean, on_boundary boolean"
     )
 
 

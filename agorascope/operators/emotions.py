@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import text as tx
-from ..functions.binding import add_kept
+from ..functions.binding import add_kept, as_rows
 from ..functions.numeric import percent
 from ..presets import EMOTIONS, NEGATIVE_EMOTIONS
 from .mentions import Dictionary
@@ -58,10 +58,10 @@ def feature_emotion_hits(
     per_word = said.groupBy(*keys, "word").agg(*[
         F.count_if(F.get("__flags", F.lit(i))).alias(c) for i, c in enumerate(counters)
     ])
-    pairs = ", ".join(f"'{name}', {c}" for name, c in zip(features, counters))
+    pairs = [(F.lit(name), F.col(c)) for name, c in zip(features, counters)]
     return (
         per_word.join(lexicon, "word").groupBy(*keys, "emotion").agg(*[F.sum(c).alias(c) for c in counters])
-        .select(*keys, "emotion", F.expr(f"stack({len(features)}, {pairs}) as (feature, hits)"))
+        .select(*keys, "emotion", as_rows(("feature", "hits"), pairs))
         .where(F.col("hits") > 0)
     )
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import sampling, text as tx
-from ..functions.binding import add_kept
+from ..functions.binding import add_kept, as_rows
 from ..functions.numeric import percent, whole_or_zero
 from ..functions.time import epoch_timestamp
 
@@ -115,10 +115,10 @@ def funnel(df: DataFrame, stages: Sequence[tuple[str, Column]]) -> DataFrame:
         passed = passed & F.coalesce(rule, F.lit(False))
         sums.append(F.count_if(passed).alias(f"s{i}"))
     names = ["all", *[name for name, _ in stages]]
-    rows = ", ".join(f"{i}, '{name}', s{i}" for i, name in enumerate(names))
+    rows = [(F.lit(i), F.lit(name), F.col(f"s{i}")) for i, name in enumerate(names)]
     return (
         df.agg(*sums)
-        .select("s0", F.expr(f"stack({len(names)}, {rows}) as (stage, name, n_rows)"))
+        .select("s0", as_rows(("stage", "name", "n_rows"), rows))
         .select("stage", "name", "n_rows", percent(F.col("n_rows"), F.col("s0")).alias("retained_pct"))
     )
 

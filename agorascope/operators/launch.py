@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import text as tx
+from ..functions.binding import as_rows, named
 from ..functions.numeric import percent
 from ..functions.time import epoch_timestamp, epoch_within, month_text
 from .hygiene import period_rows
@@ -71,11 +72,11 @@ def keyword_rates(flagged: DataFrame, keywords: Sequence[str]) -> DataFrame:
     """Mentions, texts and rate per keyword and period from one aggregate."""
     names = tx.unique_keywords(keywords)
     summed = flagged.groupBy("period").agg(
-        F.count(F.lit(1)).alias("total_posts"), *[F.sum(tx.keyword_column(k)).alias(tx.keyword_column(k)) for k in names]
+        F.count(F.lit(1)).alias("total_posts"), *[F.sum(named(tx.keyword_column(k))).alias(f"c{i}") for i, k in enumerate(names)]
     )
-    pairs = ", ".join(f"'{k}', {tx.keyword_column(k)}" for k in names)
+    pairs = [(F.lit(k), F.col(f"c{i}")) for i, k in enumerate(names)]
     return (
-        summed.select("period", "total_posts", F.expr(f"stack({len(names)}, {pairs}) as (keyword, mentions)"))
+        summed.select("period", "total_posts", as_rows(("keyword", "mentions"), pairs))
         .withColumn("mention_rate", percent(F.col("mentions"), F.col("total_posts")))
     )
 

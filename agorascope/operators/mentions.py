@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import text as tx
-from ..functions.binding import add_kept
+from ..functions.binding import add_kept, as_rows
 from ..functions.numeric import percent
 from ..functions.valence import ValenceLexicon, add_valence, category
 
@@ -19,8 +19,7 @@ def feature_mentions(df: DataFrame, lowered: str, features: Dictionary, word: bo
     counts = df.agg(*[
         F.count_if(tx.mentions(F.col(lowered), terms, word)).alias(f"f{i}") for i, terms in enumerate(features.values())
     ])
-    pairs = ", ".join(f"'{name}', f{i}" for i, name in enumerate(features))
-    return counts.select(F.expr(f"stack({len(features)}, {pairs}) as (feature, mentions)"))
+    return counts.select(as_rows(("feature", "mentions"), [(F.lit(name), F.col(f"f{i}")) for i, name in enumerate(features)]))
 
 
 def scored_features(df: DataFrame, text: str, features: Dictionary, lexicon: ValenceLexicon, word: bool = False) -> DataFrame:

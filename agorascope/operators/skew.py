@@ -3,11 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from ..functions.binding import as_rows, named
 
 HOT_KEYS_MAX = 512
 TRACKED = 8192
+#: Rows of one key that a task should take, whatever the size of the table.
+ROWS_PER_TASK = 1_000_000
+#: Tasks over which rows without key are spread.
+NULL_SALTS = 256
+#: Groups whose cut points (at most SPLITS numbers each) may be sent to all tasks.
+GROUPS_BROADCAST_MAX = 10_000
 SPLITS = 256
 
 
@@ -20,50 +30,40 @@ def fits(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def hot_keys(df: DataFrame, key: str, share: float = 0.001, floor: int = 100_000) -> DataFrame:
-    """Keys holding more than ``share`` of all rows and at least ``floor`` rows.
+def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Keys with more than ``rows_per_task`` rows, and the number of ``salts`` that brings each task below it.
 
-    One pass over one column with a mergeable frequent-items sketch. The result has at most
+    One pass over the key column alone, with a mergeable frequent-items sketch. The result has at most
     HOT_KEYS_MAX rows by construction, so it may be broadcast. A key the sketch misses costs
     balance, never rows.
     """
-    sketch = df.agg(
-        F.expr(f"approx_top_k(`{key}`, {HOT_KEYS_MAX}, {TRACKED})").alias("top"),
-        F.count(F.lit(1)).alias("rows"),
-    )
-    return (
-        sketch.select(F.explode("top").alias("entry"), "rows")
-        .where(F.col("entry.count") >= F.greatest(F.col("rows") * share, F.lit(floor)))
-        .select(F.col("entry.item").alias(key))
-    )
+    sketch = df.select(key).agg(F.expr(f"approx_top_k(`{key}`, {HOT_KEYS_MAX}, {TRACKED})").alias("top"))
+    entries = sketch.select(F.explode("top").alias("entry")).where(F.col("entry.count") > rows_per_task)
+    return entries.select(
+        F.col("entry.item").alias(key), F.ceil(F.col("entry.count") / rows_per_task).cast("int").alias("salts")
+    ).where(F.col(key).isNotNull())
 
 
 def salted_join(
-    big: DataFrame,
-    small: DataFrame,
-    key: str,
-    spread: Sequence[str],
-    how: str = "inner",
-    salts: int = 64,
-    share: float = 0.001,
-    floor: int = 100_000,
+    big: DataFrame, small: DataFrame, key: str, spread: Sequence[str], how: str = "inner", rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Equi-join on ``key`` in which the rows of hot keys on the big side are spread over
-    ``salts`` partitions and only their partners on the small side are copied.
+    """Equi-join on ``key`` in which the rows of hot keys on the big side are spread over as many
+    tasks as their number needs, and only their partners on the small side are copied.
 
-    The salt comes from a hash of the ``spread`` columns, so a recomputed task salts as before.
-    ``how`` is ``inner`` or ``left`` (big side kept).
+    The salt comes from a hash of the ``spread`` columns, which should tell rows of one key apart,
+    so a recomputed task salts as before. ``how`` is ``inner`` or ``left`` (big side kept); rows
+    without key, which a left join keeps, are spread too.
     """
     if how not in ("inner", "left"):
         raise ValueError("salted_join keeps rows of the big side: use inner or left")
-    marked = F.broadcast(hot_keys(big, key, share, floor).withColumn("__hot", F.lit(True)))
-    copies = F.array(*[F.lit(i) for i in range(salts)])
+    marked = F.broadcast(hot_keys(big, key, rows_per_task).withColumnRenamed("salts", "__salts"))
+    salts = F.when(F.col(key).isNull(), NULL_SALTS).otherwise(F.coalesce("__salts", F.lit(1)))
     salted_big = big.join(marked, key, "left").withColumn(
-        "__salt", F.when(F.col("__hot"), F.pmod(F.xxhash64(*spread), F.lit(salts))).otherwise(0).cast("int")
-    ).drop("__hot")
+        "__salt", F.pmod(F.xxhash64(*spread), salts.cast("bigint")).cast("int")
+    ).drop("__salts")
     salted_small = small.join(marked, key, "left").withColumn(
-        "__salt", F.explode(F.when(F.col("__hot"), copies).otherwise(F.array(F.lit(0))))
-    ).drop("__hot")
+        "__salt", F.explode(F.sequence(F.lit(0), F.coalesce("__salts", F.lit(1)) - 1))
+    ).drop("__salts")
     return salted_big.join(salted_small, [key, "__salt"], how).drop("__salt")
 
 
@@ -102,30 +102,55 @@ def ranked_histogram(df: DataFrame, value: str, descending: bool = False) -> Dat
     )
 
 
-def grouped_median(df: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
-    """Exact interpolated medians of whole-number columns per group, in one pass.
+def grouped_median(df: DataFrame, keys: Sequence[str], values: Sequence[str], splits: int = SPLITS) -> DataFrame:
+    """Exact interpolated medians of columns per group, in one pass over the rows.
 
-    Rows are counted per (group, column, value) first, so what is ordered within a group is its
-    distinct values. One output column ``<value>_median`` per input column.
+    Rows are counted per (group, column, value) first. The distinct values of a group fall into
+    ranges cut at sketched quantiles; the counts of the ranges (at most ``splits`` for a group) tell
+    which ones hold the middle, and only within these are values put in order. So a group with as
+    many distinct values as rows isn't ordered in one task. One output column ``<value>_median`` per input column.
     """
-    pairs = ", ".join(f"'{v}', cast(`{v}` as double)" for v in values)
-    long = df.select(*keys, F.expr(f"stack({len(values)}, {pairs}) as (__column, __value)"))
-    counted = (
-        long.where(F.col("__value").isNotNull())
-        .groupBy(*keys, "__column", "__value").agg(F.count(F.lit(1)).alias("__n"))
+    pairs = [(F.lit(v), named(v).cast("double")) for v in values]
+    groups = [f"__k{i}" for i in range(len(keys))]
+    long = df.select(*[named(k).alias(g) for k, g in zip(keys, groups)], as_rows(("__column", "__value"), pairs))
+    group = [*groups, "__column"]
+    counted = long.where(F.col("__value").isNotNull()).groupBy(*group, "__value").agg(F.count(F.lit(1)).alias("__n"))
+
+    def beside(rows: DataFrame, other: DataFrame) -> DataFrame:
+        """Rows with what another table has for their group; null keys are groups too."""
+        renamed = other.withColumnsRenamed({g: f"{g}_" for g in group})
+        # A row for each group: broadcast if these are few, else left to a join that can split groups with many rows.
+        small = F.broadcast(renamed) if fits(renamed, GROUPS_BROADCAST_MAX) else renamed
+        same = reduce(and_, [F.col(g).eqNullSafe(F.col(f"{g}_")) for g in group])
+        return rows.join(small, same).drop(*[f"{g}_" for g in group])
+
+    cuts = counted.groupBy(*group).agg(
+        F.percentile_approx("__value", [i / splits for i in range(1, splits)], 2000).alias("__cuts")
+    )
+    below = F.coalesce(F.size(F.filter(F.col("__cuts"), lambda c: c < F.col("__value"))), F.lit(0))
+    ranged = beside(counted, cuts).withColumn("__range", below).drop("__cuts")
+
+    part = Window.partitionBy(*group)
+    totals = ranged.groupBy(*group, "__range").agg(F.sum("__n").alias("__rows")).select(
+        *group, "__range", "__rows", F.sum("__rows").over(part).alias("__all"),
+        F.sum("__rows").over(part.orderBy("__range").rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("__upto"),
     )
-    part = Window.partitionBy(*keys, "__column")
-    run = part.orderBy("__value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = counted.withColumn("__upto", F.sum("__n").over(run)).withColumn("__all", F.sum("__n").over(part))
-    low = F.floor((F.col("__all") + 1) / 2)
-    high = F.floor((F.col("__all") + 2) / 2)
-    start = F.col("__upto") - F.col("__n")
-    holds_low = (start < low) & (F.col("__upto") >= low)
-    holds_high = (start < high) & (F.col("__upto") >= high)
-    return placed.where(holds_low | holds_high).groupBy(*keys).agg(*[
-        (
-            (F.max(F.when((F.col("__column") == v) & holds_low, F.col("__value")))
-             + F.max(F.when((F.col("__column") == v) & holds_high, F.col("__value")))) / 2
-        ).alias(f"{v}_median")
-        for v in values
-    ])
+    low, high = F.floor((F.col("__all") + 1) / 2), F.floor((F.col("__all") + 2) / 2)
+
+    def holds(rank: Column, rows: str) -> Column:
+        return (F.col("__upto") - F.col(rows) < rank) & (F.col("__upto") >= rank)
+
+    # The two middle ranks lie in at most two ranges.
+    middle = totals.where(holds(low, "__rows") | holds(high, "__rows")).groupBy(*group).agg(
+        F.max("__all").alias("__all"),
+        F.collect_list(F.struct(F.col("__range").alias("r"), (F.col("__upto") - F.col("__rows")).alias("shift"))).alias("__ranges"),
+    )
+    kept = beside(ranged, middle).withColumn("__ranges", F.filter("__ranges", lambda x: x["r"] == F.col("__range"))).where(F.size("__ranges") > 0)
+    inside = Window.partitionBy(*group, "__range").orderBy("__value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = kept.withColumn("__upto", F.sum("__n").over(inside) + F.col("__ranges")[0]["shift"])
+
+    def at(rank: Column, column: str) -> Column:
+        return F.max(F.when((F.col("__column") == column) & holds(rank, "__n"), F.col("__value")))
+
+    medians = placed.groupBy(*groups).agg(*[((at(low, v) + at(high, v)) / 2).alias(f"{v}_median") for v in values])
+    return medians.withColumnsRenamed(dict(zip(groups, keys)))

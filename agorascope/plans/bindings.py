@@ -143,6 +143,26 @@ def texts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# --- comments of texts: the lines of the order with the text's number ---------------------------
+
+TEXT_COMMENTS = f"""text_comments AS (
+  SELECT l_orderkey * 10 + l_linenumber AS id, 't3_' || l_orderkey AS link_id,
+         {DAY0} + (l_orderkey % 427) * 86400 + (l_orderkey * 7919) % 86400 + (l_orderkey * 31 + l_linenumber * 1973) % 18000 - 3600 AS created_utc,
+         CAST(floor(l_quantity) AS BIGINT) AS score, l_linenumber AS length
+  FROM lineitem)"""
+
+
+def text_comments(spark: SparkSession, folder: str) -> DataFrame:
+    """Made from an hour before the text of the same number to four hours after it."""
+    post, line = F.col("l_orderkey"), F.col("l_linenumber")
+    posted = DAY0 + (post % 427) * 86400 + (post * 7919) % 86400
+    return table(spark, folder, "lineitem").select(
+        (post * 10 + line).alias("id"), link("l_orderkey").alias("link_id"),
+        (posted + (post * 31 + line * 1973) % 18000 - 3600).alias("created_utc"),
+        F.floor("l_quantity").alias("score"), line.alias("length"),
+    )
+
+
 # --- threads: the first turn of a conversation is a post, later turns are comments ----------
 
 THREAD_POSTS = f"""thread_posts AS (
@@ -160,6 +180,35 @@ def thread_posts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+THREAD_COMMENTS = f"""thread_comments AS (
+  SELECT 't3_' || conv_id AS link_id, conv_id * 1000 + turn AS id, role AS community, text AS body,
+         {DAY0} + (conv_id % 427) * 86400 + turn * 600 AS created_utc, length(text) % 211 - 10 AS score
+  FROM conversations WHERE turn > 0)"""
+
+
+def thread_comments(spark: SparkSession, folder: str) -> DataFrame:
+    turn = F.col("turn")
+    return table(spark, folder, "conversations").where(turn > 0).select(
+        link("conv_id").alias("link_id"), (F.col("conv_id") * 1000 + turn).alias("id"), F.col("role").alias("community"),
+        F.col("text").alias("body"), (DAY0 + (F.col("conv_id") % 427) * 86400 + turn * 600).alias("created_utc"),
+        (F.length("text") % 211 - 10).cast("long").alias("score"),
+    )
+
+
+THREADS = f"{THREAD_POSTS}, {THREAD_COMMENTS}"
+
+
+def keyed(df: DataFrame, prefix: str) -> DataFrame:
+    """A ``key`` that stays unique when tables are united."""
+    return df.withColumn("key", F.concat(F.lit(prefix), F.col("id").cast("string")))
+
+
+def all_comments(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts and the later turns of threads."""
+    columns = ["key", "id", "community", "body", "score", "created_utc"]
+    return keyed(texts(spark, folder), "d").select(columns).unionByName(keyed(thread_comments(spark, folder), "t").select(columns))
+
+
 # --- text posts with comments ------------------------------------------------------------------
 
 DEPTH = """depth AS (

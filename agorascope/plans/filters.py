@@ -119,11 +119,12 @@ def split_train_test(spark, folder):
     return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
 
 
-@query("unified_texts", b.with_ctes(b.TEXTS, b.THREAD_POSTS) + """
+@query("unified_texts", b.with_ctes(b.TEXTS, b.THREADS) + """
 SELECT id, body AS text, 'comment' AS source FROM texts
+UNION ALL SELECT id, body, 'comment' FROM thread_comments
 UNION ALL SELECT id, concat_ws(' ', title, selftext), 'submission' FROM thread_posts""")
 def unified_texts(spark, folder):
-    return hygiene.unify(b.texts(spark, folder), b.thread_posts(spark, folder), keep=["id"])
+    return hygiene.unify(b.all_comments(spark, folder), b.thread_posts(spark, folder), keep=["id"])
 
 
 @query("filter_funnel", b.with_ctes(b.TEXTS) + """,

@@ -14,6 +14,7 @@ from .textmine import valence_ctes
 
 CORPUS = f"""united AS (
   SELECT 'd' || id AS key, community, body AS text, score, created_utc, 'comment' AS type FROM texts
+  UNION ALL SELECT 't' || id, community, body, score, created_utc, 'comment' FROM thread_comments
   UNION ALL
   SELECT 'c' || id, community, CASE WHEN length(selftext) > 0 THEN concat_ws(' ', title, selftext) ELSE title END,
          score, created_utc, 'submission' FROM thread_posts),
@@ -22,13 +23,12 @@ corpus AS (SELECT *, strftime(date, '%Y-%m') AS year_month,
     CASE WHEN date < DATE '{b.LAUNCH_DAY}' THEN 'Pre-Launch' ELSE 'Post-Launch' END AS period
   FROM dated WHERE date BETWEEN DATE '{b.FIRST_DAY}' AND DATE '{b.LAST_DAY}'
     AND regexp_matches(text, '{b.PRODUCT}') AND length(text) >= 20)"""
-BASE = b.with_ctes(b.TEXTS, b.THREAD_POSTS, CORPUS)
+BASE = b.with_ctes(b.TEXTS, b.THREADS, CORPUS)
 
 
 def _corpus(spark, folder):
-    documents = b.texts(spark, folder).withColumn("key", F.concat(F.lit("d"), F.col("id").cast("string")))
-    threads = b.thread_posts(spark, folder).withColumn("key", F.concat(F.lit("c"), F.col("id").cast("string")))
-    united = hygiene.unify(documents, threads, "type", "title", ["key", "community", "score", "created_utc"])
+    threads = b.keyed(b.thread_posts(spark, folder), "c")
+    united = hygiene.unify(b.all_comments(spark, folder), threads, "type", "title", ["key", "community", "score", "created_utc"])
     return launch.corpus(united, b.PRODUCT, b.FIRST_DAY, b.LAST_DAY, b.LAUNCH_DAY)
 
 
@@ -65,7 +65,7 @@ def volume_monthly_by_type(spark, folder):
     return launch.volume_monthly_by_type(_corpus(spark, folder))
 
 
-SENTIMENT = b.with_ctes(b.TEXTS, b.THREAD_POSTS, CORPUS, valence_ctes("corpus", "key", "text")) + """,
+SENTIMENT = b.with_ctes(b.TEXTS, b.THREADS, CORPUS, valence_ctes("corpus", "key", "text")) + """,
 felt AS (SELECT c.*, s.compound, CASE WHEN compound >= 0.05 THEN 'Positive' WHEN compound <= -0.05 THEN 'Negative'
            ELSE 'Neutral' END AS sentiment_category FROM corpus c JOIN scored s ON s.k = c.key)"""
 
@@ -104,7 +104,7 @@ RATES = "rates AS (" + " UNION ALL ".join(
 CHANGE = """change AS (SELECT keyword, pre_rate, post_rate, 100.0 * (post_rate - pre_rate) / nullif(pre_rate, 0) AS change_pct FROM (
   SELECT keyword, max(mention_rate) FILTER (period = 'Pre-Launch') AS pre_rate,
          max(mention_rate) FILTER (period = 'Post-Launch') AS post_rate FROM rates GROUP BY 1))"""
-KEYWORD_BASE = b.with_ctes(b.TEXTS, b.THREAD_POSTS, CORPUS, FLAGGED, RATES, CHANGE)
+KEYWORD_BASE = b.with_ctes(b.TEXTS, b.THREADS, CORPUS, FLAGGED, RATES, CHANGE)
 
 
 def _rates(spark, folder):
@@ -129,7 +129,7 @@ def keyword_change(spark, folder):
     return b.rounded(launch.keyword_change(_rates(spark, folder)))
 
 
-@query("launch_summary", b.with_ctes(b.TEXTS, b.THREAD_POSTS, CORPUS, FLAGGED, RATES, CHANGE, valence_ctes("corpus", "key", "text")) + """,
+@query("launch_summary", b.with_ctes(b.TEXTS, b.THREADS, CORPUS, FLAGGED, RATES, CHANGE, valence_ctes("corpus", "key", "text")) + """,
 felt AS (SELECT c.period, s.compound FROM corpus c JOIN scored s ON s.k = c.key),
 front AS (SELECT 'keyword: ' || keyword AS metric, change_pct AS value FROM change WHERE change_pct IS NOT NULL
             ORDER BY change_pct DESC, keyword LIMIT 3)

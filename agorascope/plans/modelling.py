@@ -198,8 +198,9 @@ def class_distribution(spark, folder):
 
 SUBJECT = ["th", "de"]
 PAINS = list(b.FEATURES)
-VECTORS = b.with_ctes(b.TEXTS, b.THREAD_POSTS) + f""",
+VECTORS = b.with_ctes(b.TEXTS, b.THREADS) + f""",
 united AS (SELECT 'd' || id AS key, community, body AS text, 'comment' AS source FROM texts
+  UNION ALL SELECT 't' || id, community, body, 'comment' FROM thread_comments
   UNION ALL SELECT 'c' || id, community, lower(regexp_replace(concat_ws(' ', title, selftext), '\\s+', ' ', 'g')), 'submission' FROM thread_posts),
 {valence_ctes('united', 'key', 'text')},
 vectors AS (SELECT u.*, s.compound AS sentiment, {', '.join(f"CAST({has_any('lower(u.text)', t)} AS INTEGER) AS {n}" for n, t in b.FEATURES.items())}
@@ -208,9 +209,8 @@ vectors AS (SELECT u.*, s.compound AS sentiment, {', '.join(f"CAST({has_any('low
 
 
 def _vectors(spark, folder):
-    documents = b.texts(spark, folder).withColumn("key", F.concat(F.lit("d"), F.col("id").cast("string")))
-    threads = b.thread_posts(spark, folder).withColumn("key", F.concat(F.lit("c"), F.col("id").cast("string")))
-    united = hygiene.unify(documents, threads, nulls="collapse", keep=["key", "community"])
+    threads = b.keyed(b.thread_posts(spark, folder), "c")
+    united = hygiene.unify(b.all_comments(spark, folder), threads, nulls="collapse", keep=["key", "community"])
     return clusters.pain_point_vectors(united, SUBJECT, b.FEATURES, b.VALENCE, keep=("key", "community", "source"))
 
 
@@ -240,9 +240,7 @@ def community_cluster_share(spark, folder):
     return b.rounded(clusters.community_share(grouped, range(4)))
 
 
-# --- fitted models: settings below the library's defaults keep the runs short ---------------------
-
-SMALL = {"features": 512, "trees": 20, "depth": 6}
+# --- fitted models, at the library's defaults ------------------------------------------------------
 
 
 def _featured(spark, folder):
@@ -250,17 +248,30 @@ def _featured(spark, folder):
 
 
 def _featured_early(spark, folder):
-    """Texts as posts with the lines of the order of the same number as comments. Order dates
-    are unrelated to text dates, so the window spans all of them."""
+    """Texts as posts with the lines of the order of the same number as comments, made from one
+    hour before the post to four hours after it."""
     opened = _featured(spark, folder).withColumn("link_id", b.link("id"))
-    shifted = b.comments(spark, folder).withColumn("created_utc", F.col("created_utc") + 30 * 365 * 86400)
-    return early.early_comment_features(opened, shifted, 30 * 365 * 86400)
+    return early.early_comment_features(opened, b.text_comments(spark, folder), spread=("id",))
+
+
+@query("early_features_of_texts", b.with_ctes(b.TEXTS, b.TEXT_COMMENTS) + """
+, early AS (
+  SELECT t.id, count(c.id) AS n, avg(c.score) AS mean, max(c.score) AS most, avg(c.length) AS length, stddev_samp(c.score) AS deviation
+  FROM texts t LEFT JOIN text_comments c ON c.link_id = 't3_' || t.id AND c.created_utc BETWEEN t.created_utc AND t.created_utc + 3600
+  GROUP BY 1)
+SELECT id, n AS early_comment_count, round(coalesce(mean, 0), 6) AS early_comment_avg_score,
+       CAST(coalesce(most, 0) AS BIGINT) AS early_comment_max_score, round(coalesce(length, 0), 6) AS early_comment_avg_length,
+       round(coalesce(deviation, 0), 6) AS early_comment_score_std
+FROM early""")
+def early_features_of_texts(spark, folder):
+    """The columns that the models with early comments see beside the content."""
+    return b.rounded(_featured_early(spark, folder).select("id", *models.EARLY_NUMBERS))
 
 
 @query("tfidf_features")
 def tfidf_features(spark, folder):
     featured = _featured(spark, folder).select("id", "text")
-    fitted = Pipeline(stages=models.tfidf_stages("text", 512)).fit(featured)
+    fitted = Pipeline(stages=models.tfidf_stages("text")).fit(featured)
     return b.rounded(models.vector_values(fitted.transform(featured), "id", "tfidf"))
 
 
@@ -275,19 +286,19 @@ def category_encoding(spark, folder):
 
 @query("engagement_regression_content")
 def engagement_regression_content(spark, folder):
-    _, scored = models.engagement_regression(_featured(spark, folder), **SMALL)
+    _, scored = models.engagement_regression(_featured(spark, folder))
     return ev.regression_metrics(scored, "log_score", "prediction")
 
 
 @query("engagement_regression_early")
 def engagement_regression_early(spark, folder):
-    _, scored = models.engagement_regression(_featured_early(spark, folder), extra=models.EARLY_NUMBERS, **SMALL)
+    _, scored = models.engagement_regression(_featured_early(spark, folder), extra=models.EARLY_NUMBERS)
     return ev.regression_metrics(scored, "log_score", "prediction")
 
 
 @query("prediction_sample")
 def prediction_sample(spark, folder):
-    _, scored = models.engagement_regression(_featured(spark, folder), **SMALL)
+    _, scored = models.engagement_regression(_featured(spark, folder))
     return models.prediction_sample(scored)
 
 
@@ -297,14 +308,14 @@ def _viral_texts(df):
 
 @query("viral_classifier_content")
 def viral_classifier_content(spark, folder):
-    _, scored = models.viral_classifier(_viral_texts(_featured(spark, folder)), **SMALL)
+    _, scored = models.viral_classifier(_viral_texts(_featured(spark, folder)))
     return models.binary_report(scored, "is_viral")
 
 
 @query("viral_classifier_early")
 def viral_classifier_early(spark, folder):
     extra = ["early_comment_count", "early_comment_avg_score", "early_comment_score_std"]
-    _, scored = models.viral_classifier(_viral_texts(_featured_early(spark, folder)), extra=extra, **SMALL)
+    _, scored = models.viral_classifier(_viral_texts(_featured_early(spark, folder)), extra=extra)
     return models.binary_report(scored, "is_viral")
 
 
@@ -312,7 +323,7 @@ def viral_classifier_early(spark, folder):
 def suspicious_classifier(spark, folder):
     """Importances of the profile measures, with the area under the ROC curve on the test rows."""
     labelled = profiles.label_suspicious(_profiles(spark, folder), **LIMITS)
-    model, scored = models.suspicious_classifier(labelled, trees=20)
+    model, scored = models.suspicious_classifier(labelled)
     auc = models.binary_report(scored, "is_suspicious").select("auc_roc").scalar()
     table = imp.feature_importance(spark, model, profiles.PROFILE_FEATURES, {})
     return table.select("feature", "importance", "rank").withColumn("auc_roc", auc)
@@ -322,7 +333,7 @@ def suspicious_classifier(spark, folder):
 def sentiment_classifier(spark, folder):
     texts = hygiene.normalized_texts(b.texts(spark, folder), "body")
     labelled = texts.withColumn("sentiment", br.list_sentiment(F.lower("body"), b.POSITIVE, b.NEGATIVE))
-    _, scored = models.sentiment_classifier(labelled, iterations=30)
+    _, scored = models.sentiment_classifier(labelled)
     return ev.class_report(scored, "sentiment", "predicted_sentiment")
 
 
@@ -334,7 +345,7 @@ def sentiment_weak_labels(spark, folder):
 
 
 def _importance(spark, posts, extra=()):
-    model, scored = models.engagement_regression(posts, extra=extra, **SMALL)
+    model, scored = models.engagement_regression(posts, extra=extra)
     return imp.feature_importance(spark, model, imp.feature_names(scored))
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.binding import as_rows, named
+
 
 def dataset_profile(df: DataFrame, approximate: bool = True) -> DataFrame:
     """Per column: type, rows, nulls, distinct values, minimum and maximum as text.
@@ -14,15 +16,16 @@ def dataset_profile(df: DataFrame, approximate: bool = True) -> DataFrame:
     distinct = F.approx_count_distinct if approximate else F.count_distinct
     measures = [F.count(F.lit(1)).alias("n_rows")]
     for i, name in enumerate(df.columns):
-        column = F.col(f"`{name}`")
+        column = named(name)
         measures += [
             F.count_if(column.isNull()).alias(f"nulls_{i}"),
             distinct(column).alias(f"distinct_{i}"),
             F.min(column).cast("string").alias(f"min_{i}"),
             F.max(column).cast("string").alias(f"max_{i}"),
         ]
-    rows = ", ".join(
-        f"'{name}', '{kind}', nulls_{i}, distinct_{i}, min_{i}, max_{i}" for i, (name, kind) in enumerate(df.dtypes)
-    )
-    stacked = F.expr(f"stack({len(df.columns)}, {rows}) as (column_name, column_type, n_nulls, n_distinct, min_value, max_value)")
-    return df.agg(*measures).select("n_rows", stacked)
+    rows = [
+        (F.lit(name), F.lit(kind), *[F.col(f"{measure}_{i}") for measure in ("nulls", "distinct", "min", "max")])
+        for i, (name, kind) in enumerate(df.dtypes)
+    ]
+    fields = ("column_name", "column_type", "n_nulls", "n_distinct", "min_value", "max_value")
+    return df.agg(*measures).select("n_rows", as_rows(fields, rows))

@@ -13,14 +13,16 @@ class UnreadablePath(ValueError):
     """A table path that does not exist or cannot be read."""
 
 
-def read_table(spark: SparkSession, path: str | Sequence[str], schema: StructType | None = None) -> DataFrame:
+def read_table(spark: SparkSession, path: str | Sequence[str], schema: StructType | None = None, base: str | None = None) -> DataFrame:
     """A parquet table from one folder, a glob, or several paths read as one table.
 
     With a schema no footer has to be opened to infer one; Hive partition columns in the path
-    stay visible and prune files. Only the columns later used are read.
+    stay visible and prune files. Only the columns later used are read. ``base`` is the table's
+    folder where the paths are some of its partitions.
     """
     paths = [path] if isinstance(path, str) else list(path)
     reader = spark.read if schema is None else spark.read.schema(schema)
+    reader = reader if base is None else reader.option("basePath", base)
     try:
         return reader.parquet(*paths)
     except AnalysisException as error:
@@ -40,7 +42,7 @@ def write_by_month(df: DataFrame, path: str, day: str = "date", rebalance: bool
 
 def export_csv(df: DataFrame, path: str) -> None:
     """Write a small aggregate as one CSV file with a header. Not for row-level tables."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    df.repartition(1).write.mode("overwrite").option("header", True).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:

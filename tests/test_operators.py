@@ -66,7 +66,7 @@ def comments_and_posts(spark):
     return posts, spark.createDataFrame(data, "link_id string, created_utc long, score int, length int")
 
 
-@pytest.mark.parametrize("salting", [{}, {"floor": 1, "share": 0.1, "salts": 4}])
+@pytest.mark.parametrize("salting", [{}, {"rows_per_task": 1}])
 def test_early_window(spark, salting):
     posts, comments = comments_and_posts(spark)
     got = {r["id"]: r for r in early.early_comment_features(posts, comments, 3600, **salting).collect()}
@@ -87,16 +87,46 @@ def test_comment_counts(spark, rows):
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_salted_join_with_one_hot_key(spark, rows, how):
     random.seed(3)
-    big = [("hot" if i % 3 == 0 else str(random.randrange(40)), i) for i in range(600)]
-    small = [("hot", "h"), *[(str(i), f"v{i}") for i in range(0, 40, 2)]]
+    big = [("hot" if i % 3 == 0 else "warm" if i % 3 == 1 and i % 2 else None if i % 5 == 0 else str(random.randrange(40)), i) for i in range(600)]
+    small = [("hot", "h"), ("warm", "w"), (None, "n"), *[(str(i), f"v{i}") for i in range(0, 40, 2)]]
     left = spark.createDataFrame(big, "k string, i int")
     right = spark.createDataFrame(small, "k string, v string")
-    assert rows(skew.hot_keys(left, "k", 0.1, 50)) == [("hot",)]
+    assert rows(skew.hot_keys(left, "k", 50)) == [("hot", 4), ("warm", 2)]
     plain = left.join(right, "k", how)
-    salted = skew.salted_join(left, right, "k", ["i"], how, salts=5, share=0.1, floor=50)
+    salted = skew.salted_join(left, right, "k", ["i"], how, rows_per_task=50)
     assert rows(salted, "k", "i", "v") == rows(plain, "k", "i", "v")
 
 
+def test_grouped_median_with_many_ranges_and_null_groups(spark):
+    random.seed(8)
+    data = [(random.choice(["a", "b", None]), random.uniform(-5, 5), random.randrange(4)) for _ in range(801)] + [("c", None, 2), ("d", 1.0, None)]
+    df = spark.createDataFrame(data, "`g.x` string, a double, b int")
+    for splits in (2, 7, 256):
+        got = {r[0]: (r["a_median"], r["b_median"]) for r in skew.grouped_median(df, ["g.x"], ["a", "b"], splits).collect()}
+        for g in ("a", "b", "c", "d", None):
+            for i in (0, 1):
+                own = [r[i + 1] for r in data if r[0] == g and r[i + 1] is not None]
+                assert got[g][i] == (statistics.median(own) if own else None)
+    whole = skew.grouped_median(df, [], ["a"], 16).first()[0]
+    assert whole == statistics.median(r[1] for r in data if r[1] is not None)
+
+
+def test_names_of_any_form(spark, rows):
+    from agorascope.operators import hygiene, launch, mentions
+    from agorascope.sources.profile import dataset_profile
+
+    texts = spark.createDataFrame([("Pre-Launch", "bluetooth 5.3 and b&o"), ("Post-Launch", "don't use b&o")], "period string, text string")
+    words = ["bluetooth 5.3", "b&o", "don't"]
+    rates = launch.keyword_rates(launch.keyword_flags(texts, words), words)
+    assert rows(rates, "keyword", "period", "mentions") == sorted([(w, p, int(w in t)) for w in words for p, t in (("Pre-Launch", "bluetooth 5.3 and b&o"), ("Post-Launch", "don't use b&o"))], key=repr)
+    low = texts.select(F.lower("text").alias("low"))
+    assert rows(mentions.feature_mentions(low, "low", {"driver's fit": ["use"], "b\"q`.c": ["b&o"]})) == sorted([("b\"q`.c", 2), ("driver's fit", 1)], key=repr)
+    funnel = hygiene.funnel(texts, [("it's `all`", F.lit(True))])
+    assert [r["name"] for r in funnel.orderBy("stage").collect()] == ["all", "it's `all`"]
+    odd = spark.createDataFrame([(1, "x")], "`a.b` int, `c'd``e` string")
+    assert rows(dataset_profile(odd), "column_name", "n_rows") == [("a.b", 1), ("c'd`e", 1)]
+
+
 @pytest.mark.parametrize("descending", [False, True])
 def test_ranked_histogram(spark, rows, descending):
     random.seed(1)
@@ -237,7 +267,8 @@ def test_kmeans_on_distinct_vectors(spark):
     data = [(1, 0, 0)] * 50 + [(0, 1, 0)] * 30 + [(0, 0, 1)] * 20 + [(1, 1, 0)] * 2
     df = spark.createDataFrame(data, "a int, b int, c int")
     sweep = {r["k"]: r for r in clusters.kmeans_sweep(df, ["a", "b", "c"], range(2, 10)).collect()}
-    assert sorted(sweep) == [2, 3] and sweep[3]["inertia"] <= sweep[2]["inertia"]
+    assert sorted(sweep) == list(range(2, 10)) and sweep[3]["inertia"] <= sweep[2]["inertia"]
+    assert [k for k, r in sweep.items() if r["tried"]] == [2, 3] and sweep[4]["inertia"] is None
     assert sum(r["is_best"] for r in sweep.values()) == 1
     assert clusters.centroids(df, ["a", "b", "c"], 2).count() == 6
 
