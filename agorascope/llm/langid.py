@@ -39,6 +39,8 @@ PENALTY = -7.0
 UNKNOWN = "und"
 #: Distinct words that a task counts before it hands them on.
 HELD = 200_000
+#: Distinct words whose n-grams a task counts.
+WORDS_PER_TASK = 100_000
 
 _WORDS = re.compile(r"[^\W\d_]+")
 _COUNTS = "lang string, word string, n bigint"
@@ -146,6 +148,8 @@ def fit(labelled: DataFrame, cutoff: float = CUTOFF, longest: int = LONGEST) ->
     """A model from rows ``(lang, text)``."""
     counts = stored(word_counts(labelled), "words")
     words = frequent_shares(counts.withColumn("size", F.lit(0)), "word", cutoff)
+    # Words by the task: few tasks with many words each combine most of their n-grams before the shuffle.
+    counts = counts.coalesce(max(1, -(-counts.count() // WORDS_PER_TASK)))
     padded = F.concat(F.lit(" "), "word", F.lit(" "))
     size = F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), F.length("word") + 2)))
     sized = counts.select("lang", "n", padded.alias("word"), size.alias("size"))
