@@ -85,3 +85,15 @@ def community_share(clustered: DataFrame, clusters: Sequence[int], community: st
     return clustered.groupBy(community).agg(*[
         percent(F.count_if(F.col(cluster) == c), total).alias(f"cluster_{c}_pct") for c in clusters
     ])
+
+
+def assign_clusters(vectors: DataFrame, columns: Sequence[str], model: KMeansModel) -> DataFrame:
+    """Each row with the ``cluster`` of its vector. Only distinct vectors are predicted, at most
+    2**len(columns) of them, and sent to the rows."""
+    points = model.transform(weighted_points(vectors, columns)).select(*columns, "cluster")
+    return vectors.join(F.broadcast(points), list(columns))
+
+
+def cluster_sizes(clustered: DataFrame, columns: Sequence[str], cluster: str = "cluster") -> DataFrame:
+    """Rows of each cluster and the share of them with each column's flag."""
+    return clustered.groupBy(cluster).agg(F.count(F.lit(1)).alias("size"), *[F.avg(c).alias(c) for c in columns])

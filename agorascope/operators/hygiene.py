@@ -13,6 +13,7 @@ from ..functions.time import epoch_timestamp
 
 GONE = ("[deleted]", "[removed]")
 MODERATOR = "AutoModerator"
+SPELLINGS_MAX = 1000
 
 
 def in_communities(df: DataFrame, names: Sequence[str], column: str = "community") -> DataFrame:
@@ -23,9 +24,18 @@ def in_communities(df: DataFrame, names: Sequence[str], column: str = "community
 def in_communities_ci(
     df: DataFrame, names: Sequence[str], excluded: Sequence[str] = (), column: str = "community"
 ) -> DataFrame:
-    """Membership whatever the case, less an exclusion list; the column comes out lower-cased."""
+    """Membership whatever the case, less an exclusion list; the column comes out lower-cased.
+
+    The spellings that occur are looked up first, in a pass over this column alone, so that the
+    filter on the rows is a list of values and reaches the scan. There are at most as many as the
+    listed names have spellings; should there be more than ``SPELLINGS_MAX``, rows are lower-cased to be compared.
+    """
     wanted = sorted({n.lower() for n in names} - {n.lower() for n in excluded})
-    return df.withColumn(column, F.lower(column)).where(F.col(column).isin(wanted))
+    listed = F.lower(column).isin(wanted)
+    found = df.where(listed).select(column).distinct().limit(SPELLINGS_MAX + 1).collect()
+    if len(found) <= SPELLINGS_MAX:
+        listed = F.col(column).isin([r[0] for r in found])
+    return df.where(listed).withColumn(column, F.lower(column))
 
 
 def comment_rules(body: str = "body", author: str = "author", min_length: int = 8, gone: Sequence[str] = GONE) -> list[tuple[str, Column]]:

@@ -13,12 +13,14 @@ from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import (
     IDF,
+    FeatureHasher,
     HashingTF,
     IndexToString,
     OneHotEncoder,
     StandardScaler,
     StopWordsRemover,
     StringIndexer,
+    StringIndexerModel,
     Tokenizer,
     VectorAssembler,
 )
@@ -68,19 +70,24 @@ def tfidf_stages(text: str = "text", features: int = 5000, min_doc_freq: int = 2
     ]
 
 
-def category_stages(column: str = "community") -> list:
-    """Index and one-hot vector; values unseen in training get a slot of their own."""
+def category_stages(column: str = "community", values: Sequence[str] = (), slots: int = 256) -> list:
+    """A vector with a slot for each listed value and one for all others; without a list, a hashed
+    vector of so many slots. Neither gathers the column's values on the driver."""
+    if not values:
+        return [FeatureHasher(inputCols=[column], outputCol=f"{column}_vec", numFeatures=slots, categoricalCols=[column])]
     return [
-        StringIndexer(inputCol=column, outputCol=f"{column}_idx", handleInvalid="keep"),
+        StringIndexerModel.from_labels(list(values), inputCol=column, outputCol=f"{column}_idx", handleInvalid="keep"),
         OneHotEncoder(inputCols=[f"{column}_idx"], outputCols=[f"{column}_vec"]),
     ]
 
 
-def content_stages(extra: Sequence[str] = (), column: str = "community", features: int = 5000, min_doc_freq: int = 2) -> list:
+def content_stages(
+    extra: Sequence[str] = (), column: str = "community", features: int = 5000, min_doc_freq: int = 2, values: Sequence[str] = (),
+) -> list:
     assembler = VectorAssembler(
         inputCols=["tfidf", f"{column}_vec", *CONTENT_NUMBERS, *extra], outputCol="features", handleInvalid="skip"
     )
-    return [*tfidf_stages("text", features, min_doc_freq), *category_stages(column), assembler]
+    return [*tfidf_stages("text", features, min_doc_freq), *category_stages(column, values), assembler]
 
 
 def fit(stages: list, train: DataFrame) -> PipelineModel:
@@ -97,20 +104,44 @@ def fit(stages: list, train: DataFrame) -> PipelineModel:
 
 def engagement_regression(
     posts: DataFrame, key: str = "id", extra: Sequence[str] = (), features: int = 5000,
-    trees: int = 100, depth: int = 12, min_instances: int = 5, subsample: float = 0.8, seed: int = 42,
+    trees: int = 100, depth: int = 12, min_instances: int = 5, subsample: float = 0.8, seed: int = 42, communities: Sequence[str] = (),
 ) -> tuple[PipelineModel, DataFrame]:
     """Random forest for the log score on content, with ``extra`` numeric columns (such as the
     early comment features). Returns the model and the scored test rows."""
-    rows = posts.where(F.col("log_score").isNotNull())
-    train, test = split_rows(rows, key, seed=seed)
+    train, test = regression_rows(posts, key, seed)
     forest = RandomForestRegressor(
         featuresCol="features", labelCol="log_score", numTrees=trees, maxDepth=depth,
         minInstancesPerNode=min_instances, subsamplingRate=subsample, seed=seed,
     )
-    model = fit([*content_stages(extra, features=features), forest], train)
+    model = fit([*content_stages(extra, features=features, values=communities), forest], train)
     return model, model.transform(test)
 
 
+def regression_rows(posts: DataFrame, key: str = "id", seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """The training and test rows of every engagement regression, whatever its features."""
+    return split_rows(posts.where(F.col("log_score").isNotNull()), key, seed=seed)
+
+
+def compared_regressions(posts: DataFrame, extra: Sequence[str], key: str = "id", **settings) -> DataFrame:
+    """Predictions of a model on content and of one with ``extra`` columns too, for the same test rows:
+    key, community, log_score, ``content`` and ``extended``."""
+    _, first = engagement_regression(posts, key, **settings)
+    _, second = engagement_regression(posts, key, extra, **settings)
+    return first.select(key, "community", "log_score", F.col("prediction").alias("content")).join(
+        second.select(key, F.col("prediction").alias("extended")), key
+    )
+
+
+def term_weights(texts: DataFrame, key: str = "id", text: str = "text", min_doc_freq: int = 2) -> DataFrame:
+    """TF-IDF by term instead of by hashed slot: key, term, n, weight. Terms in fewer texts weigh 0, as in Spark ML."""
+    terms = F.filter(F.split(F.lower(text), r"\s+"), lambda t: t != "")
+    counted = texts.select(key, F.explode(terms).alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("n"))
+    found = counted.groupBy("term").agg(F.count(F.lit(1)).alias("texts"))
+    total = texts.agg(F.count(F.lit(1)).alias("total")).scalar()
+    idf = F.when(F.col("texts") >= min_doc_freq, F.log((total + 1) / (F.col("texts") + 1))).otherwise(0.0)
+    return counted.join(found.select("term", idf.alias("idf")), "term").select(key, "term", "n", (F.col("n") * F.col("idf")).alias("weight"))
+
+
 def viral_classifier(
     posts: DataFrame, key: str = "id", extra: Sequence[str] = (), features: int = 5000,
     trees: int = 100, depth: int = 10, seed: int = 42, label: str = "is_viral",

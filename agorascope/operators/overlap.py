@@ -7,15 +7,19 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 
-def memberships(activity: DataFrame, excluded: Sequence[str] = ("[deleted]",), community: str = "community") -> DataFrame:
-    """Distinct sets of communities with the number of authors having exactly that set.
+def memberships(
+    activity: DataFrame, communities: Sequence[str], excluded: Sequence[str] = ("[deleted]",), community: str = "community"
+) -> DataFrame:
+    """Distinct sets of the listed communities with the number of authors having exactly that set.
+
+    The list bounds a set, whatever an author is active in; it reaches the scan as a pushed filter.
 
     Rows collapse to (author, community) on the map side, so an author holding a third of all
     rows contributes one row per community. An author's set is bounded by the number of
     communities studied, and all later work runs on the distinct sets, not on the authors.
     """
     pairs = (
-        activity.where(~F.col("author").cast("string").isin(list(excluded)))
+        activity.where(F.col(community).isin(list(communities)) & ~F.col("author").cast("string").isin(list(excluded)))
         .select("author", community).distinct()
     )
     sets = pairs.groupBy("author").agg(F.sort_array(F.collect_set(community)).alias("members"))

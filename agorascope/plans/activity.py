@@ -14,6 +14,7 @@ BUCKETED = """bucketed AS (
 EXCLUDED = ["error"]
 ALL = ["view", "signup", "click", "error", "purchase"]
 BASE = b.with_ctes(b.ACTIVITY, BUCKETED)
+EVERYWHERE = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW", "lot-3", "lot-4", "lot-5"]
 
 
 def _bucketed(spark, folder):
@@ -263,11 +264,11 @@ m AS (SELECT DISTINCT author, community FROM
 SELECT a.community AS sub1, b.community AS sub2, count(*) AS shared_users
 FROM m a JOIN m b ON a.author = b.author AND a.community < b.community GROUP BY 1, 2""")
 def user_overlap_pairs(spark, folder):
-    return overlap.shared_users(overlap.memberships(_everyone(spark, folder))).orderBy(F.desc("shared_users"))
+    return overlap.shared_users(overlap.memberships(_everyone(spark, folder), EVERYWHERE)).orderBy(F.desc("shared_users"))
 
 
 @query("user_overlap_matrix", PAIRED + """
 SELECT a.community AS sub1, b.community AS sub2, count(*) AS shared_users
 FROM m a JOIN m b ON a.author = b.author GROUP BY 1, 2""")
 def user_overlap_matrix(spark, folder):
-    return overlap.overlap_matrix(overlap.memberships(_everyone(spark, folder)))
+    return overlap.overlap_matrix(overlap.memberships(_everyone(spark, folder), EVERYWHERE))

@@ -232,6 +232,7 @@ def depth_posts(spark: SparkSession, folder: str) -> DataFrame:
 
 # --- vocabulary that occurs in the given texts ------------------------------------------------
 
+SOURCES = [f"src{i}" for i in range(20)]
 FEATURES = {
     "connect": ["and", "with"],
     "suffix": ["tion"],

@@ -240,6 +240,27 @@ def community_cluster_share(spark, folder):
     return b.rounded(clusters.community_share(grouped, range(4)))
 
 
+def _clustered(spark, folder, k=4):
+    vectors = _vectors(spark, folder).persist()
+    model = clusters.fit_kmeans(clusters.weighted_points(vectors, PAINS), k)
+    return clusters.assign_clusters(vectors, PAINS, model)
+
+
+@query("cluster_flag_means", VECTORS + f"""
+SELECT count(*) AS n_vectors, {', '.join(f"round(avg({p}), 6) AS {p}" for p in PAINS)} FROM vectors""")
+def cluster_flag_means(spark, folder):
+    """Means of the flags over all vectors, from the sizes and centres of fitted clusters."""
+    sizes = clusters.cluster_sizes(_clustered(spark, folder), PAINS)
+    total = F.sum("size")
+    return b.rounded(sizes.agg(total.alias("n_vectors"), *[(F.sum(F.col("size") * F.col(p)) / total).alias(p) for p in PAINS]))
+
+
+@query("community_fitted_cluster_share")
+def community_fitted_cluster_share(spark, folder):
+    """Shares of each community's vectors in fitted clusters."""
+    return clusters.community_share(_clustered(spark, folder), range(4))
+
+
 # --- fitted models, at the library's defaults ------------------------------------------------------
 
 
@@ -276,32 +297,56 @@ def tfidf_features(spark, folder):
 
 
 @query("category_encoding", """
-WITH places AS (SELECT source, row_number() OVER (ORDER BY count(*) DESC, source) - 1 AS place FROM documents GROUP BY 1)
-SELECT doc_id AS id, CAST(place AS INTEGER) AS index, CAST(1 AS DOUBLE) AS value FROM documents JOIN places USING (source)""")
+SELECT doc_id AS id, CAST(substr(source, 4) AS INTEGER) AS index, CAST(1 AS DOUBLE) AS value FROM documents
+WHERE regexp_full_match(source, 'src(1?[0-9])')""")
 def category_encoding(spark, folder):
     featured = _featured(spark, folder).select("id", "community")
-    fitted = Pipeline(stages=models.category_stages()).fit(featured)
+    fitted = Pipeline(stages=models.category_stages(values=b.SOURCES)).fit(featured)
     return models.vector_values(fitted.transform(featured), "id", "community_vec")
 
 
 @query("engagement_regression_content")
 def engagement_regression_content(spark, folder):
-    _, scored = models.engagement_regression(_featured(spark, folder))
+    _, scored = models.engagement_regression(_featured(spark, folder), communities=b.SOURCES)
     return ev.regression_metrics(scored, "log_score", "prediction")
 
 
 @query("engagement_regression_early")
 def engagement_regression_early(spark, folder):
-    _, scored = models.engagement_regression(_featured_early(spark, folder), extra=models.EARLY_NUMBERS)
+    _, scored = models.engagement_regression(_featured_early(spark, folder), extra=models.EARLY_NUMBERS, communities=b.SOURCES)
     return ev.regression_metrics(scored, "log_score", "prediction")
 
 
 @query("prediction_sample")
 def prediction_sample(spark, folder):
-    _, scored = models.engagement_regression(_featured(spark, folder))
+    _, scored = models.engagement_regression(_featured(spark, folder), communities=b.SOURCES)
     return models.prediction_sample(scored)
 
 
+@query("regression_test_rows", b.with_ctes(b.TEXTS) + f"""
+SELECT id, round(ln(1 + score), 6) AS log_score FROM texts WHERE score > -1 AND {key_fraction('id', 42)} >= 0.8""")
+def regression_test_rows(spark, folder):
+    """Keys and true values of the rows on which both regressions are judged."""
+    return b.rounded(models.regression_rows(_featured(spark, folder))[1].select("id", "log_score"))
+
+
+@query("fitted_model_comparison")
+def fitted_model_comparison(spark, folder):
+    """Metrics of a model on content and of one with early comments, fitted and judged on the same rows."""
+    both = models.compared_regressions(_featured_early(spark, folder), models.EARLY_NUMBERS, communities=b.SOURCES)
+    return ev.compare_models(both, "log_score", "content", "extended")
+
+
+@query("term_weights", b.with_ctes(b.TEXTS) + """,
+said AS (SELECT id, unnest(string_split_regex(lower(concat_ws(' ', title, selftext)), '\\s+')) AS term FROM texts),
+counted AS (SELECT id, term, count(*) AS n FROM said WHERE term <> '' GROUP BY 1, 2),
+found AS (SELECT term, count(*) AS texts FROM counted GROUP BY 1)
+SELECT id, term, n, round(n * CASE WHEN texts >= 2 THEN ln(((SELECT count(*) FROM texts) + 1.0) / (texts + 1)) ELSE 0 END, 6) AS weight
+FROM counted JOIN found USING (term)""")
+def term_weights(spark, folder):
+    return b.rounded(models.term_weights(_featured(spark, folder)))
+
+
 def _viral_texts(df):
     return ev.viral_label(df)
 
@@ -345,7 +390,7 @@ def sentiment_weak_labels(spark, folder):
 
 
 def _importance(spark, posts, extra=()):
-    model, scored = models.engagement_regression(posts, extra=extra)
+    model, scored = models.engagement_regression(posts, extra=extra, communities=b.SOURCES)
     return imp.feature_importance(spark, model, imp.feature_names(scored))
 
 

@@ -160,7 +160,7 @@ def test_viral_label(spark, scores):
 
 def test_overlap(spark, rows):
     data = [("u", "a"), ("u", "b"), ("u", "c"), ("u", "a"), ("v", "a"), ("v", "b"), ("w", "c"), ("[deleted]", "a"), ("[deleted]", "b")]
-    sets = overlap.memberships(spark.createDataFrame(data, "author string, community string"))
+    sets = overlap.memberships(spark.createDataFrame(data + [("u1", "unlisted")], "author string, community string"), ["a", "b", "c"])
     assert rows(overlap.shared_users(sets)) == [("a", "b", 2), ("a", "c", 1), ("b", "c", 1)]
     matrix = {(r[0], r[1]): r[2] for r in overlap.overlap_matrix(sets).collect()}
     assert matrix[("a", "a")] == 2 and matrix[("b", "a")] == 2 and matrix[("c", "c")] == 2
@@ -276,7 +276,7 @@ def test_kmeans_on_distinct_vectors(spark):
 def test_importances_carry_true_names(spark):
     data = [(i, f"title {i % 7} word{i % 3}", "body text", i % 11, 1700000000 + i * 5000, f"c{i % 2}") for i in range(120)]
     df = spark.createDataFrame(data, "id int, title string, selftext string, score int, created_utc long, community string")
-    model, scored = models.engagement_regression(models.content_time_features(df), features=16, trees=3, depth=3)
+    model, scored = models.engagement_regression(models.content_time_features(df), features=16, trees=3, depth=3, communities=["c0", "c1"])
     names = importance.feature_names(scored)
     table = importance.feature_importance(spark, model, names)
     assert len(names) == 16 + 2 + 4 and names[-4:] == list(models.CONTENT_NUMBERS)
