@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import re
+import time
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -78,10 +79,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_dir(spark, label)
     df.write.parquet(path)
-    # Shuffle files stay until the driver's collector finds that nothing needs them: ask it to look,
-    # so that a job of many steps doesn't hold the shuffles of all of them.
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    release(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -92,6 +90,18 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBa
             yield batch.slice(start, rows)
 
 
+def release(spark: SparkSession) -> None:
+    """Have shuffle files removed that nothing needs any more.
+
+    They stay until the driver's collector finds that; a job of many steps asks it to look, so as
+    not to hold the shuffles of all steps. What ended just now is found in the second round.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.2)
+
+
 def text_slices(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterator[pa.RecordBatch]:
     """The batches, cut so that a part's texts have at most so many bytes, or it is one row."""
     for batch in batches:

@@ -1,7 +1,7 @@
 """Passages that repeat across documents, by prefix-free parsing and suffix sorting of the dictionary.
 
 A byte goes if it lies in a string of ``LENGTH`` bytes (50) that also starts in a document with a
-smaller ``doc_id``. Texts are parsed at triggers of a rolling hash of 12 bytes, which depend on
+smaller ``doc_id``. Texts are parsed at triggers of a rolling hash of 20 bytes, which depend on
 content alone, so copies are parsed alike wherever they lie.
 
 1. Long phrases end where the hash is 0 modulo 256. A phrase stands for all 50-byte strings that
@@ -42,7 +42,7 @@ from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, Struc
 from .common import arrow_map, column, stored, text_slices
 
 LENGTH = 50
-GRAM = 12
+GRAM = 20
 LONG_PHRASE = 256
 #: Short phrases of one trigger that a task sorts at once.
 GROUP = 50_000
@@ -254,7 +254,7 @@ def repeats(phrases: list[bytes], keys: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def _masks(flags: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The flags of each phrase's strings, at most 39, as bits of a number."""
+    """The flags of each phrase's strings, at most 31, as bits of a number."""
     nth = np.arange(len(flags)) - np.repeat(np.cumsum(counts) - counts, counts)
     bits = np.where(flags, np.int64(1) << nth, 0)
     return np.add.reduceat(bits, np.cumsum(counts) - counts) if len(counts) else bits

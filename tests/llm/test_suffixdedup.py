@@ -65,7 +65,7 @@ def test_smallest_places_and_rolling_hash():
     h = np.random.default_rng(0).integers(0, 9, 300).astype(np.uint64) << np.uint64(32)
     for width in (1, 2, 3, 8, 39):
         assert S.smallest_places(h, width).tolist() == [i + int(np.argmin(h[i : i + width])) for i in range(301 - width)]
-    h = S.rolling_hashes(np.frombuffer(b"abcdefghijklmnop--abcdefghijklmnop", np.uint8))
+    h = S.rolling_hashes(np.frombuffer(b"abcdefghijklmnop--abcdefghijklmnop", np.uint8), 12)
     assert (h[:5] == h[18:23]).all() and len(set(h.tolist())) == len(h) - 5
 
 
