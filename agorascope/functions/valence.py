@@ -2,7 +2,7 @@
 
 The rules are those of Hutto and Gilbert (2014), "VADER: A Parsimonious Rule-based Model for
 Sentiment Analysis of Social Media Text": word valences, boosters and negators among the three
-preceding words, emphasis by capitals and punctuation, the shift at "but", and the squashing
+preceding words with their exceptions, emphasis by capitals (of boosters too) and punctuation, the shift at "but", and the squashing
 s / sqrt(s^2 + 15). The word list is a parameter; ``presets`` has a small one of our own.
 
 Everything stays inside Spark expressions, so scoring adds neither a Python worker nor a
@@ -14,6 +14,8 @@ from __future__ import annotations
 
 from collections import defaultdict
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -22,6 +24,8 @@ from .binding import let
 # Fixed values from the paper.
 NORMALIZER = 15.0
 NEGATED = -0.74
+NEVER_SO = 1.25
+STRESSED_NEVER = ("so", "this")
 CAPITALS = 0.733
 EXCLAMATION = 0.292
 QUESTION = 0.18
@@ -59,20 +63,45 @@ def _is(word: Column, names) -> Column:
     return F.coalesce(word.isin(names), F.lit(False)) if names else F.lit(False)
 
 
+def _negation(w1: Column, w2: Column, w3: Column, lexicon: ValenceLexicon) -> Column:
+    """The factor of the three words before, the nearest first: a negator turns the sign, "never so"
+    and "never this" stress instead, "without doubt" does nothing, and "least" turns the sign but
+    after "at" and "very"."""
+    def so(*before: Column) -> Column:
+        return reduce(or_, [_is(w, STRESSED_NEVER) for w in before])
+
+    def doubt(*before: Column) -> Column:
+        return reduce(or_, [_is(w, ["doubt"]) for w in before])
+
+    def factor(word: Column, *nearer: Column) -> Column:
+        turned = F.when(_is(word, lexicon.negators), NEGATED).otherwise(1.0)
+        if not nearer:
+            return turned
+        stressed, certain = _is(word, ["never"]) & so(*nearer), _is(word, ["without"]) & doubt(*nearer)
+        return F.when(stressed, NEVER_SO).when(certain, 1.0).otherwise(turned)
+
+    least = F.when(_is(w1, ["least"]) & ~_is(w2, ["at", "very"]), NEGATED).otherwise(1.0)
+    return factor(w1) * factor(w2, w1) * factor(w3, w2, w1) * least
+
+
 def _hit_score(text: Column, i: Column, lexicon: ValenceLexicon) -> Column:
     """Valence of the lexicon word at position i of a prepared text in its context."""
     words, raw, but_at = text["words"], F.get(text["raw"], i), text["but_at"]
 
     def in_context(value: Column) -> Column:
         sign = F.signum(value)
-        shouted = text["mixed"] & (F.upper(raw) == raw) & (F.length(raw) > 1)
-        total = value + F.when(shouted, sign * CAPITALS).otherwise(0.0)
-        flips = F.lit(0)
+
+        def shouted(word: Column) -> Column:
+            return F.when(text["mixed"] & (F.upper(word) == word) & (F.length(word) > 1), CAPITALS).otherwise(0.0)
+
+        total = value + sign * shouted(raw)
         for distance, weight in enumerate(DAMPING, start=1):
             before = F.get(words, i - distance)
-            total = total + _lookup(before, lexicon.boosters) * sign * weight
-            flips = flips + _is(before, lexicon.negators).cast("int")
-        return total * F.pow(F.lit(NEGATED), flips)
+            # A booster in capitals counts more, in the direction of the word that it stands before.
+            boost = _lookup(before, lexicon.boosters)
+            loud = F.when(_is(before, lexicon.boosters), shouted(F.get(text["raw"], i - distance))).otherwise(0.0)
+            total = total + (boost + loud) * sign * weight
+        return total * _negation(*[F.get(words, i - d) for d in (1, 2, 3)], lexicon)
 
     but_weight = (
         F.when(but_at == 0, 1.0).when(i + 1 < but_at, BEFORE_BUT).when(i + 1 > but_at, AFTER_BUT).otherwise(1.0)

@@ -12,9 +12,9 @@ from .skew import grouped_median
 
 def engagement_metrics(
     posts: DataFrame, brand_communities: Sequence[str], community: str = "community", day: str = "date",
-    types: tuple[str, str] = ("Brand", "General"),
+    types: tuple[str, str] = ("Brand", "General"), excluded: Sequence[str] = (),
 ) -> DataFrame:
-    """Score and comment statistics, volume, distinct authors and pace per community.
+    """Score and comment statistics, volume, distinct authors but the ``excluded`` ones, and pace per community.
 
     Expects ``score``, ``num_comments``, ``author``, ``id`` and a date column. The exact medians
     come from a second, column-pruned pass that counts values before ordering them.
@@ -26,7 +26,7 @@ def engagement_metrics(
         *stats("score"),
         *stats("num_comments"),
         F.count("id").alias("total_posts"),
-        F.count_distinct("author").alias("unique_authors"),
+        F.count_distinct(F.when(~F.col("author").cast("string").isin(list(excluded)), F.col("author")) if excluded else F.col("author")).alias("unique_authors"),
         F.min(day).alias("min_date"),
         F.max(day).alias("max_date"),
     )

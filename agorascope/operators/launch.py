@@ -16,17 +16,18 @@ PRE, POST = "Pre-Launch", "Post-Launch"
 
 
 def corpus(
-    texts: DataFrame, product: str, first: str, last: str, event_day: str,
+    texts: DataFrame, product: str | Sequence[str], first: str, last: str, event_day: str,
     min_length: int = 20, epoch: str = "created_utc",
 ) -> DataFrame:
-    """Texts matching the product pattern within the dates, with date, month and period.
+    """Texts matching the product pattern, or any of several whatever the case, within the dates, with date, month and period.
 
     The date range is applied first, once on the stored epoch, where it reaches the scan, and once
     exactly; the pattern runs only on what is left.
     """
     dated = texts.where(epoch_within(F.col(epoch), first, last)).withColumn("date", F.to_date(epoch_timestamp(F.col(epoch))))
     inside = period_rows(dated, "date", first, last, event_day, PRE, POST)
-    matching = inside.where(F.col("text").rlike(product) & (F.length("text") >= min_length))
+    pattern = product if isinstance(product, str) else "(?i)" + "|".join(f"(?:{p})" for p in product)
+    matching = inside.where(F.col("text").rlike(pattern) & (F.length("text") >= min_length))
     return matching.withColumn("year_month", month_text(F.col("date")))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 PROFILE_FEATURES = [
@@ -11,11 +13,18 @@ PROFILE_FEATURES = [
 ]
 
 
+def without_authors(df: DataFrame, excluded: Sequence[str]) -> DataFrame:
+    """Rows of other authors and rows without author."""
+    if not excluded:
+        return df
+    return df.where(F.col("author").isNull() | ~F.col("author").cast("string").isin(list(excluded)))
+
+
 def user_profiles(
     activity: DataFrame, ts: str = "created", community: str = "community", score: str = "score",
-    length: Column | None = None, short: int = 20, upvoted: float = 1, min_rows: int = 1,
+    length: Column | None = None, short: int = 20, upvoted: float = 1, min_rows: int = 1, excluded: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per author with 13 aggregates and 4 derived measures.
+    """One row per author, but those ``excluded`` (such as a name that stands for deleted accounts), with 13 aggregates and 4 derived measures.
 
     The two distinct counts make Spark aggregate by (author, community or day) before it
     aggregates by author, and everything else is combined on the map side, so an account with a
@@ -23,6 +32,7 @@ def user_profiles(
     0. ``min_rows`` leaves out accounts with fewer rows.
     """
     length = F.length("body") if length is None else length
+    activity = without_authors(activity, excluded)
     rows = activity.select(
         "author", community, F.col(score).alias("__score"), F.to_date(ts).alias("__day"),
         F.hour(ts).alias("__hour"), length.alias("__length"), F.col(ts).alias("__ts"),
@@ -59,7 +69,7 @@ def label_suspicious(
     """1 for accounts that meet any of four rules, else 0.
 
     Models trained on these labels and the same profiles relearn the rules; their scores say
-    nothing about real abuse.
+    nothing about real abuse. The thresholds are fixed values.
     """
     rule = (
         ((F.col("total_comments") > many) & (F.col("subreddit_diversity") < few_communities))

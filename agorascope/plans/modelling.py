@@ -374,6 +374,20 @@ def suspicious_classifier(spark, folder):
     return table.select("feature", "importance", "rank").withColumn("auc_roc", auc)
 
 
+@query("suspicious_metrics")
+def suspicious_metrics(spark, folder):
+    """Accuracy, weighted scores and the areas under both curves of the account model on its test rows."""
+    labelled = profiles.label_suspicious(_profiles(spark, folder), **LIMITS)
+    return models.binary_report(models.suspicious_classifier(labelled)[1], "is_suspicious")
+
+
+@query("suspicious_confusion")
+def suspicious_confusion(spark, folder):
+    labelled = profiles.label_suspicious(_profiles(spark, folder), **LIMITS)
+    _, scored = models.suspicious_classifier(labelled)
+    return ev.confusion_matrix(scored, "is_suspicious", "prediction", [0, 1])
+
+
 @query("sentiment_classifier")
 def sentiment_classifier(spark, folder):
     texts = hygiene.normalized_texts(b.texts(spark, folder), "body")

@@ -30,6 +30,12 @@ def _emotion_lexicon(spark):
 
 # --- valence in SQL: tokens unnested, context by window functions -----------------------------
 
+def _loud(distance: str) -> str:
+    """What capitals of the word so far before add to it as a booster."""
+    r = f"c.r{distance}"
+    return f"CASE WHEN d.caps > 0 AND d.caps < d.n AND upper({r}) = {r} AND length({r}) > 1 THEN 0.733 ELSE 0 END"
+
+
 def valence_ctes(source: str, key: str, text: str) -> str:
     """CTEs ending in ``scored(key, compound)`` for the rows of a relation."""
     v = b.VALENCE
@@ -39,16 +45,21 @@ def valence_ctes(source: str, key: str, text: str) -> str:
 raws AS (SELECT {key} AS k, {text} AS txt, regexp_extract_all({text}, '[A-Za-z'']+') AS raws FROM {source}),
 tok AS (SELECT k, unnest(raws) AS raw, unnest(range(1, len(raws) + 1)) AS pos FROM raws),
 word AS (SELECT *, lower(raw) AS w FROM tok),
-ctx AS (SELECT *, lag(w, 1) OVER o AS w1, lag(w, 2) OVER o AS w2, lag(w, 3) OVER o AS w3
+ctx AS (SELECT *, lag(w, 1) OVER o AS w1, lag(w, 2) OVER o AS w2, lag(w, 3) OVER o AS w3,
+               lag(raw, 1) OVER o AS r1, lag(raw, 2) OVER o AS r2, lag(raw, 3) OVER o AS r3
         FROM word WINDOW o AS (PARTITION BY k ORDER BY pos)),
 doc AS (SELECT k, count(*) AS n, count(*) FILTER (upper(raw) = raw AND length(raw) > 1) AS caps,
                coalesce(min(pos) FILTER (w = {quoted(v.contrast)}), 0) AS but_at FROM word GROUP BY k),
 hit AS (SELECT c.k, c.pos,
    (v.v + CASE WHEN d.caps > 0 AND d.caps < d.n AND upper(c.raw) = c.raw AND length(c.raw) > 1 THEN sign(v.v) * 0.733 ELSE 0 END
-        + coalesce(b1.b, 0) * sign(v.v) + coalesce(b2.b, 0) * sign(v.v) * 0.95 + coalesce(b3.b, 0) * sign(v.v) * 0.9)
-   * pow(-0.74, CASE WHEN c.w1 IN {in_list(sorted(v.negators))} THEN 1 ELSE 0 END
-              + CASE WHEN c.w2 IN {in_list(sorted(v.negators))} THEN 1 ELSE 0 END
-              + CASE WHEN c.w3 IN {in_list(sorted(v.negators))} THEN 1 ELSE 0 END)
+        + coalesce(b1.b + {_loud('1')}, 0) * sign(v.v) + coalesce(b2.b + {_loud('2')}, 0) * sign(v.v) * 0.95
+        + coalesce(b3.b + {_loud('3')}, 0) * sign(v.v) * 0.9)
+   * CASE WHEN c.w1 IN {in_list(sorted(v.negators))} THEN -0.74 ELSE 1 END
+   * CASE WHEN c.w2 = 'never' AND c.w1 IN ('so', 'this') THEN 1.25 WHEN c.w2 = 'without' AND c.w1 = 'doubt' THEN 1
+          WHEN c.w2 IN {in_list(sorted(v.negators))} THEN -0.74 ELSE 1 END
+   * CASE WHEN c.w3 = 'never' AND (c.w2 IN ('so', 'this') OR c.w1 IN ('so', 'this')) THEN 1.25
+          WHEN c.w3 = 'without' AND (c.w2 = 'doubt' OR c.w1 = 'doubt') THEN 1 WHEN c.w3 IN {in_list(sorted(v.negators))} THEN -0.74 ELSE 1 END
+   * CASE WHEN c.w1 = 'least' AND coalesce(c.w2, '') NOT IN ('at', 'very') THEN -0.74 ELSE 1 END
    * CASE WHEN d.but_at = 0 THEN 1.0 WHEN c.pos < d.but_at THEN 0.5 WHEN c.pos > d.but_at THEN 1.5 ELSE 1.0 END AS s
    FROM ctx c JOIN valence v ON v.w = c.w JOIN doc d ON d.k = c.k
    LEFT JOIN booster b1 ON b1.w = c.w1 LEFT JOIN booster b2 ON b2.w = c.w2 LEFT JOIN booster b3 ON b3.w = c.w3),

@@ -15,7 +15,7 @@ GENERAL_COMMUNITIES = ["headphones", "audiophile", "audio", "BudgetAudiophile",
 # Brands as word-bounded terms. Words shared by two brands are listed once.
 BRAND_TERMS = {
     "Apple": ["apple", "airpods", "airpod", "homepod", {"re": r"pro\s?max"}],
-    "Samsung": ["samsung", {"re": r"galaxy\s?buds"}, {"re": r"buds\s?pro"}, {"re": r"buds\s?live"}, {"re": r"buds\s?\d+"}],
+    "Samsung": ["samsung", {"re": r"galaxy\s?buds"}, {"re": r"buds\s?pro"}, {"re": r"buds\s?live"}, {"re": r"buds\s?2"}, {"re": r"buds\s?\d+"}],
     "Sony": ["sony", {"re": r"wh-1000xm\d"}, {"re": r"wf-1000xm\d"}, {"re": r"xm\d"}, "linkbuds", {"re": r"wh-ch\d+"}],
     "Bose": ["bose", "quietcomfort", {"re": r"qc\s?\d+"}, "qc", "soundlink", {"re": r"sport\s?earbuds"}],
     "JBL": ["jbl", "tune", "flip", {"re": r"charge\s?\d+"}, {"re": r"go\s?\d+"}, "xtreme", "partybox"],
@@ -33,6 +33,16 @@ NEGATIVE_WORDS = [
     "annoying", "regret", "waste", "broken", "useless", "defective", "fail",
 ]
 
+# Word lists for the weak labels of the sentiment model.
+LABEL_POSITIVE_WORDS = [
+    "love", "great", "excellent", "amazing", "perfect", "fantastic", "awesome", "wonderful", "best", "good",
+    "recommend", "satisfied", "happy", "quality", "comfortable",
+]
+LABEL_NEGATIVE_WORDS = [
+    "hate", "terrible", "awful", "worst", "bad", "poor", "disappointed", "disappointing", "frustrating", "annoying",
+    "waste", "broken", "useless", "defective", "fail", "sucks", "despise", "horrible", "waste of money", "disgusting",
+]
+
 # Customer journey stages, in order of precedence.
 JOURNEY_STAGES = [
     ("troubleshooting", ["problem", "issue", "broken", "stopped working", "not working", "help", "fix", "repair"]),
@@ -52,6 +62,14 @@ FEATURE_WORDS = ["sound", "bass", "anc", "noise cancelling", "battery", "comfort
 # Launch study.
 LAUNCH_DAY = "2023-09-22"
 LAUNCH_RANGE = ("2023-06-01", "2024-07-31")
+PRODUCT_PATTERNS = [
+    r"\bairpods?\s+pro\b",
+    r"\bapp\s+2\b",
+    r"\bairpods?\s+pro\s+2\b",
+    r"\bairpods?\s+pro\s+second\s+gen\b",
+    r"\bairpods?\s+pro\s+gen\s+2\b",
+    r"\bairpods?\s+pro\s+\(2nd\s+gen\)",
+]
 TRACKED_KEYWORDS = [
     "usb-c", "usb c", "lightning", "upgrade", "worth it", "lossless", "vision pro",
     "charging port", "usb type c",

@@ -121,6 +121,18 @@ def squash(s):
     ("GOOD day", 2.733),
     ("GOOD DAY", 2.0),
     ("good but bad", 2.0 * 0.5 - 2.0 * 1.5),
+    ("VERY good day", 2.0 + 0.293 + 0.733),
+    ("VERY bad day", -2.0 - 0.293 - 0.733),
+    ("VERY GOOD", 2.293),
+    ("never so good", 2.0 * 1.25),
+    ("never x this good", 2.0 * 1.25),
+    ("never so x good", 2.0 * 1.25),
+    ("not this good", 2.0 * -0.74),
+    ("without a doubt good", 2.0),
+    ("without doubt good", 2.0),
+    ("least good", 2.0 * -0.74),
+    ("at least good", 2.0),
+    ("very least good", 2.0 + 0.293 * 0.95),
     ("good!!", 2.0 + 2 * 0.292),
     ("good!!!!!!", 2.0 + 4 * 0.292),
     ("bad??", -2.0 - 2 * 0.18),

@@ -282,3 +282,55 @@ def test_importances_carry_true_names(spark):
     assert len(names) == 16 + 2 + 4 and names[-4:] == list(models.CONTENT_NUMBERS)
     totals = {r["feature_group"]: r["importance_pct"] for r in importance.group_totals(table).collect()}
     assert set(totals) == {"TF-IDF", "Community", "Text_Length", "Temporal"} and sum(totals.values()) == pytest.approx(100)
+
+
+def test_presets_with_their_operators(spark, rows):
+    texts = spark.createDataFrame([(1, "galaxy buds 2 vs sony wf-1000xm4"), (2, "I love this, great fit"), (3, "waste of money, the battery is dead"), (4, "AirPods Pro second gen")], "id int, t string")
+    low = F.lower("t")
+    got = {r[0]: tuple(r)[1:] for r in texts.select(
+        "id", brands.dominant_brand(low, presets.BRAND_TERMS), brands.list_sentiment(low, presets.LABEL_POSITIVE_WORDS, presets.LABEL_NEGATIVE_WORDS),
+        brands.list_sentiment(low, presets.POSITIVE_WORDS, presets.NEGATIVE_WORDS),
+    ).collect()}
+    assert got[1][0] is None and got[4][0] == "Apple"  # as many places for either brand
+    assert got[2][1:] == ("positive", "positive") and got[3][1:] == ("negative", "negative")
+    pains = {r["feature"]: r["mentions"] for r in mentions.feature_mentions(texts.withColumn("low", low), "low", presets.PAIN_POINTS).collect()}
+    assert pains["battery"] == 1 and pains["durability"] == 1 and pains["anc"] == 0
+    posts = texts.select(F.col("t").alias("text"), F.lit(1700000000).alias("created_utc"))
+    assert launch.corpus(posts, presets.PRODUCT_PATTERNS, *presets.LAUNCH_RANGE, presets.LAUNCH_DAY).count() == 1
+    flags = launch.keyword_flags(texts.withColumnRenamed("t", "text"), presets.TRACKED_KEYWORDS)
+    assert len(flags.columns) == 2 + len({k.replace(" ", "-") for k in presets.TRACKED_KEYWORDS})
+    counts = brands.term_counts(texts.withColumnRenamed("t", "processed_text").withColumn("brand", F.lit("x")), presets.CONCERN_WORDS + presets.FEATURE_WORDS)
+    assert counts.count() >= 1
+
+
+def test_excluded_authors(spark):
+    data = [("[deleted]", "a", 1, "2024-01-01"), ("u", "a", 2, "2024-01-02"), (None, "a", 3, "2024-01-02")]
+    df = spark.createDataFrame([(i, *r, 0) for i, r in enumerate(data)], "id int, author string, community string, score int, date string, num_comments int").withColumn("date", F.to_date("date"))
+    assert engagement.engagement_metrics(df, [], excluded=("[deleted]",)).first()["unique_authors"] == 1
+    assert engagement.engagement_metrics(df, []).first()["unique_authors"] == 2
+    activity = df.withColumn("created", F.col("date").cast("timestamp")).withColumn("body", F.lit("x"))
+    assert {r["author"] for r in profiles.user_profiles(activity, excluded=("[deleted]",)).collect()} == {"u", None}
+
+
+def test_clusters_are_assigned_to_all_rows(spark):
+    data = [(f"c{i % 3}", int(i % 2), int(i % 5 == 0), int(i % 7 == 0)) for i in range(210)]
+    df = spark.createDataFrame(data, "community string, a int, b int, c int")
+    model = clusters.fit_kmeans(clusters.weighted_points(df, ["a", "b", "c"]), 3)
+    clustered = clusters.assign_clusters(df, ["a", "b", "c"], model)
+    sizes = clusters.cluster_sizes(clustered, ["a", "b", "c"]).collect()
+    assert sum(r["size"] for r in sizes) == 210
+    for r in clusters.community_share(clustered, range(3)).collect():
+        assert sum(r[f"cluster_{i}_pct"] for i in range(3)) == pytest.approx(100)
+    centres = [x for c in model.clusterCenters() for x in c]
+    assert sorted(round(float(x), 6) for x in centres) == sorted(round(r[c], 6) for r in sizes for c in "abc")
+
+
+def test_models_are_judged_on_the_same_rows_and_repeat(spark):
+    data = [(i, f"title {i % 7} word{i % 3}", "body text", i % 11, 1700000000 + i * 5000, f"c{i % 2}", float(i % 4)) for i in range(120)]
+    df = models.content_time_features(spark.createDataFrame(data, "id int, title string, selftext string, score int, created_utc long, community string, x double"))
+    small = {"features": 16, "trees": 3, "depth": 3, "communities": ["c0", "c1"]}
+    both = models.compared_regressions(df, ["x"], **small)
+    again = models.compared_regressions(df, ["x"], **small)
+    test = {r["id"] for r in models.regression_rows(df)[1].collect()}
+    assert {r["id"] for r in both.collect()} == test
+    assert sorted(map(tuple, both.collect())) == sorted(map(tuple, again.collect()))
