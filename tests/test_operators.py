@@ -124,7 +124,7 @@ def test_names_of_any_form(spark, rows):
     funnel = hygiene.funnel(texts, [("it's `all`", F.lit(True))])
     assert [r["name"] for r in funnel.orderBy("stage").collect()] == ["all", "it's `all`"]
     odd = spark.createDataFrame([(1, "x")], "`a.b` int, `c'd``e` string")
-    assert rows(dataset_profile(odd), "column_name", "n_rows") == [("a.b", 1), ("c'd`e", 1)]
+    assert rows(dataset_profile(odd), "column_name", "n_rows") == sorted([("a.b", 1), ("c'd`e", 1)], key=repr)
 
 
 @pytest.mark.parametrize("descending", [False, True])
@@ -214,7 +214,7 @@ def test_pain_points_scale_with_the_sample(spark, rows):
 def test_emotions_with_small_and_large_lexicon(spark, rows, limit):
     lex = spark.createDataFrame([("great", "joy"), ("great", "trust"), ("dead", "sadness")], "word string, emotion string")
     df = spark.createDataFrame([(1, "Great, great battery is DEAD"), (2, "great sound"), (3, "dead")], "id int, body string")
-    per_text = emotions.lexicon_hits(df, "id", "body", lex, limit, floor=1, share=0.2, salts=3)
+    per_text = emotions.lexicon_hits(df, "id", "body", lex, limit, rows_per_task=2)
     assert rows(per_text, "id", "emotion", "hits") == [
         (1, "joy", 2), (1, "sadness", 1), (1, "trust", 2), (2, "joy", 1), (2, "trust", 1), (3, "sadness", 1)]
     features = {"battery": ["battery"], "sound": ["sound"]}
@@ -285,7 +285,7 @@ def test_importances_carry_true_names(spark):
 
 
 def test_presets_with_their_operators(spark, rows):
-    texts = spark.createDataFrame([(1, "galaxy buds 2 vs sony wf-1000xm4"), (2, "I love this, great fit"), (3, "waste of money, the battery is dead"), (4, "AirPods Pro second gen")], "id int, t string")
+    texts = spark.createDataFrame([(1, "galaxy buds 2 vs sony wf-1000xm4 linkbuds"), (2, "I love this, great fit"), (3, "waste of money, the battery is dead"), (4, "AirPods Pro second gen")], "id int, t string")
     low = F.lower("t")
     got = {r[0]: tuple(r)[1:] for r in texts.select(
         "id", brands.dominant_brand(low, presets.BRAND_TERMS), brands.list_sentiment(low, presets.LABEL_POSITIVE_WORDS, presets.LABEL_NEGATIVE_WORDS),
