@@ -196,6 +196,8 @@ def first_of_groups(docs: DataFrame, words: int = SHINGLE_WORDS, seed: int = SEE
     """One row of each component of ``docs``: that with the smallest ``doc_id``, ties by the text's hash; ids before null ones."""
     groups = near_duplicates(docs, words, seed, distance)
     least = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("least")
-    first = groups.groupBy("component").agg(least).select(F.col("least.doc_id").alias("_first_id"), F.col("least.text_hash").alias("_first_hash"))
-    same = docs["doc_id"].cast("bigint").eqNullSafe(first["_first_id"]) & (F.xxhash64(docs["text"]) == first["_first_hash"])
-    return docs.join(first, same, "left_semi").dropDuplicates(["doc_id", "text"])
+    # Plain equality on two columns, so that the join's partitions serve the last step too.
+    key = lambda c: F.coalesce(c.cast("bigint"), F.lit(-(1 << 63)))
+    first = groups.groupBy("component").agg(least).select(key(F.col("least.doc_id")).alias("__key"), F.col("least.text_hash").alias("__hash"))
+    keyed = docs.withColumns({"__key": key(F.col("doc_id")), "__hash": F.xxhash64("text")})
+    return keyed.join(first, ["__key", "__hash"], "left_semi").dropDuplicates(["__key", "__hash"]).drop("__key", "__hash")
