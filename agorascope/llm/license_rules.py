@@ -1,9 +1,9 @@
 """Hand-written signature rules for licences, in order of precedence.
 
-A rule is ``label; weight; keyword; pattern``. Patterns are regular expressions over a text's
+A rule is ``label; weight; keywords; pattern``. Patterns are regular expressions over a text's
 words, lower-cased and joined by single spaces, and match whole words. ``LIC`` stands for the
 spellings of "license", ``VER`` for an optional "version" or "v". A rule is tried only on texts
-that have its keyword. Earlier sections are more specific: identifiers, then titles with versions,
+that have one of its keywords, which are parted by commas; every spelling of the pattern has one. Earlier sections are more specific: identifiers, then titles with versions,
 then sentences of licence texts and notices, then bare names and general remarks.
 """
 
@@ -109,7 +109,7 @@ mpl-1.0; 0.95; mozilla; mozilla public LIC VER1 0
 epl-2.0; 0.95; eclipse; eclipse public LIC VER2(?: 0)?
 epl-1.0; 0.95; eclipse; eclipse public LIC VER1(?: 0)?
 edl-1.0; 0.95; eclipse; eclipse distribution LIC VER1(?: 0)?
-cddl-1.1; 0.95; cddl; common development and distribution LIC(?: cddl)? VER1 1
+cddl-1.1; 0.95; development; common development and distribution LIC(?: cddl)? VER1 1
 cddl-1.0; 0.95; development; common development and distribution LIC(?: cddl)? VER1(?: 0)?
 cpl-1.0; 0.95; common; common public LIC VER1(?: 0)?
 cpal-1.0; 0.95; attribution; common public attribution LIC VER1(?: 0)?
@@ -119,7 +119,7 @@ eupl-1.1; 0.95; european; european union public LICs? VER1 1
 artistic-2.0; 0.95; artistic; artistic LIC VER2(?: 0)?
 artistic-1.0; 0.95; artistic; artistic LIC VER1(?: 0)?
 apsl-2.0; 0.95; apple; apple public source LIC VER2(?: 0)?
-osl-3.0; 0.95; osl; open software LIC(?: osl)? VER3(?: 0)?
+osl-3.0; 0.95; open; open software LIC(?: osl)? VER3(?: 0)?
 afl-3.0; 0.95; academic; academic free LIC VER3(?: 0)?
 afl-2.1; 0.95; academic; academic free LIC VER2 1
 ecl-2.0; 0.95; educational; educational community LIC VER2(?: 0)?
@@ -147,7 +147,7 @@ unicode; 0.9; unicode; unicode LIC(?: agreement)?
 icu; 0.9; icu; icu LIC
 x11; 0.9; x11; x11 LIC
 jsonl; 0.85; json; the json LIC
-beerware; 0.95; beer; beer ?ware LIC
+beerware; 0.95; beer, beerware; beer ?ware LIC
 cecill-2.1; 0.95; cecill; cecill (?:free software )?LIC(?: agreement)? VER2 1
 cecill; 0.85; cecill; cecill(?: b| c)? LIC
 odbl-1.0; 0.95; database; open (?:data commons open )?database LIC VER1(?: 0)?
@@ -157,7 +157,7 @@ ogl-3.0; 0.95; government; open government LIC VER3(?: 0)?
 ogl; 0.9; government; open government LIC
 cdla-permissive; 0.9; community; community data LIC agreement permissive
 cdla-sharing; 0.9; community; community data LIC agreement sharing
-openrail; 0.9; openrail; (?:creativeml |bigscience )?open ?rail(?: m)?(?: LIC)?
+openrail; 0.9; open, openrail; (?:creativeml |bigscience )?open ?rail(?: m)?(?: LIC)?
 llama; 0.9; llama; llama [0-9 ]*community LIC(?: agreement)?
 
 # Creative Commons, in words and in short
@@ -195,9 +195,9 @@ cc-other; 0.7; commons; (?:under|by) (?:a|the) creative commons LIC
 
 # Sentences of licence texts
 mit; 0.95; hereby; permission is hereby granted free of charge to any person obtaining a copy
-mit; 0.9; software; the above copyright notice and this permission notice shall be included in all copies or substantial portions
+mit; 0.9; substantial; the above copyright notice and this permission notice shall be included in all copies or substantial portions
 isc; 0.95; hereby; permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted
-hpnd; 0.85; hereby; permission to use copy modify and distribute this software and its documentation
+hpnd; 0.85; permission; permission to use copy modify and distribute this software and its documentation
 bsd; 0.9; redistribution; redistribution and use in source and binary forms with or without modification are permitted
 bsd-3-clause; 0.9; endorse; neither the name of .{1,120}? may be used to endorse or promote products
 bsd-4-clause; 0.9; advertising; all advertising materials mentioning features or use of this software must display
@@ -218,7 +218,7 @@ lgpl; 0.85; library; this library is free software you can redistribute it
 agpl; 0.85; received; you should have received a copy of the gnu affero general public LIC
 mpl-2.0; 0.9; mozilla; this source code form is subject to the terms of the mozilla public LIC
 epl; 0.85; eclipse; this program and the accompanying materials are made available under the terms of the eclipse public LIC
-cddl; 0.85; cddl; the contents of this file are subject to the terms of the common development and distribution LIC
+cddl; 0.85; development; the contents of this file are subject to the terms of the common development and distribution LIC
 beerware; 0.9; beer; you can buy me a beer in return
 ofl-1.1; 0.9; font; this font software is LICd under the sil open font LIC
 no-warranty; 0.4; warranty; (?:is )?provided as is without (?:any )?(?:express or implied )?warranty
@@ -228,7 +228,7 @@ no-liability; 0.4; liable; in no event shall .{1,80}? be liable for any
 mit; 0.85; mit; (?:the )?mit LIC
 mit; 0.8; mit; LICd under (?:the )?(?:terms of (?:the )?)?mit
 bsd-3-clause; 0.9; bsd; (?:bsd (?:3|three) clause|(?:3|three) clause bsd|new bsd|revised bsd|modified bsd)(?: LIC)?
-bsd-2-clause; 0.9; bsd; (?:bsd (?:2|two) clause|(?:2|two) clause bsd|simplified bsd|freebsd)(?: LIC)?
+bsd-2-clause; 0.9; bsd, freebsd; (?:bsd (?:2|two) clause|(?:2|two) clause bsd|simplified bsd|freebsd)(?: LIC)?
 bsd-4-clause; 0.9; bsd; (?:bsd (?:4|four) clause|(?:4|four) clause bsd|original bsd)(?: LIC)?
 bsd; 0.8; bsd; bsd(?: style)? LIC
 apache-2.0; 0.8; apache; LICd under (?:the )?apache(?: 2 0)?
@@ -282,11 +282,11 @@ public-domain; 0.6; gemeinfrei; gemeinfrei
 proprietary; 0.7; proprietary; proprietary and confidential
 proprietary; 0.7; unauthorized; unauthorized (?:copying|use|reproduction|distribution)(?: or [a-z]+)? of this (?:file|software|material|document)
 proprietary; 0.6; permission; (?:may not be|not to be) (?:copied|reproduced|distributed|redistributed)(?: or [a-z]+)? without (?:the )?(?:prior |express )?(?:written )?permission
-non-commercial; 0.6; commercial; for non ?commercial (?:use|purposes)(?: only)?
+non-commercial; 0.6; commercial, noncommercial; for non ?commercial (?:use|purposes)(?: only)?
 personal-use; 0.6; personal; for personal use only
-eula; 0.7; eula; end user LIC agreement|eula
+eula; 0.7; eula, agreement; end user LIC agreement|eula
 copyleft; 0.5; copyleft; copyleft
 copyright; 0.3; copyright; copyright(?: c)? (?:19|20)[0-9]{2}(?: (?:19|20)[0-9]{2})*
-copyright; 0.3; ©; (?:copyright )?© ?(?:19|20)[0-9]{2}
+copyright; 0.3; ©, ©(?:19|20)[0-9]{2}; (?:copyright )?© ?(?:19|20)[0-9]{2}
 permission; 0.3; reprinted; reprinted (?:with|by) permission(?: of)?
 """

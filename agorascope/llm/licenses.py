@@ -1,7 +1,8 @@
 """Licence notices in texts, by ordered signature rules.
 
-A text's words are looked up in the rules' keywords, and only the rules whose keyword occurs are
-tried. Each match is an interval of words with the rule's rank. Matches are taken by rank, then the
+A text's words are looked up in the rules' keywords, and only the rules of which a keyword occurs
+are tried. Every spelling that a pattern accepts has one of its rule's keywords, which is checked, so
+this finds what trying all rules would. Each match is an interval of words with the rule's rank. Matches are taken by rank, then the
 longer, then the earlier; one that lies within an interval already taken is suppressed. So "GNU
 General Public License, version 3" isn't also a bare "General Public License".
 
@@ -9,7 +10,8 @@ Base phrases are looked up as they are, at all places, and never suppressed.
 
 Defined cases: a null text has no words; repeated rows stay as rows; an empty table gives no rows;
 columns besides ``doc_id`` and ``text`` aren't read; a rule whose pattern could match nothing, or
-whose keyword isn't one word, is an error when rules are read.
+whose keywords aren't words, is an error when rules are read, and one that accepts a spelling without
+its keywords before texts are.
 """
 
 from __future__ import annotations
@@ -18,6 +20,8 @@ import re
 from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import product
+from re import _parser as syntax
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -42,17 +46,70 @@ class Rule:
     pattern: re.Pattern
 
 
-def read_rules(text: str = RULES) -> dict[bytes, list[Rule]]:
-    """Rules by keyword, from lines ``label; weight; keyword; pattern`` in order of rank."""
-    rules: dict[bytes, list[Rule]] = {}
+#: In a spelling, any character that isn't told.
+ANY = "\0"
+
+
+def spellings(pattern: str) -> set[str]:
+    """What a pattern matches; sets of more than ten characters stand as ``ANY``, and open repeats end after one more."""
+
+    def of(node) -> set[str]:
+        kind, value = str(node[0]), node[1]
+        if kind == "LITERAL":
+            return {chr(value)}
+        if kind == "IN":
+            told: set[str] = set()
+            for what, x in value:
+                if str(what) not in ("LITERAL", "RANGE"):
+                    return {ANY}
+                told |= {chr(x)} if str(what) == "LITERAL" else set(map(chr, range(x[0], x[1] + 1)))
+            return told if len(told) <= 10 else {ANY}
+        if kind == "ANY":
+            return {ANY}
+        if kind == "BRANCH":
+            return set().union(*map(row, value[1]))
+        if kind == "SUBPATTERN":
+            return row(value[-1])
+        if kind in ("MAX_REPEAT", "MIN_REPEAT"):
+            once = row(value[2])
+            return {"".join(x) for n in range(value[0], min(value[1], value[0] + 1) + 1) for x in product(once, repeat=n)}
+        raise ValueError(f"not for rules: {kind}")
+
+    def row(nodes) -> set[str]:
+        out = {""}
+        for node in nodes:
+            out = {a + b for a in out for b in of(node)}
+        return out
+
+    return row(syntax.parse(pattern))
+
+
+def _spelled(pattern: str) -> str:
+    return pattern.replace("LICd", "licen[cs]ed").replace("LICs", "licen[cs]es?").replace("LIC", "licen[cs]e").replace("VER", "(?:version |ver |v |v)?")
+
+
+def _parts(text: str) -> Iterator[tuple[int, str, str, list[str], str]]:
     lines = [line for line in text.splitlines() if line.strip() and not line.startswith("#")]
     for rank, line in enumerate(lines):
-        label, weight, keyword, pattern = (part.strip() for part in line.split(";", 3))
-        spelled = pattern.replace("LICd", "licen[cs]ed").replace("LICs", "licen[cs]es?").replace("LIC", "licen[cs]e").replace("VER", "(?:version |ver |v |v)?")
-        compiled = re.compile(b"(?<= )(?:" + spelled.encode() + b")(?= )")
-        if alnum_words(keyword) != [keyword.encode()] or compiled.search(b"  "):
-            raise ValueError(f"not a rule: {line}")
-        rules.setdefault(keyword.encode(), []).append(Rule(rank, label, float(weight), compiled))
+        label, weight, keywords, pattern = (part.strip() for part in line.split(";", 3))
+        yield rank, label, weight, sorted(k for part in keywords.split(",") for k in spellings(part.strip())), _spelled(pattern)
+
+
+def ungated(text: str = RULES) -> list[tuple[str, str]]:
+    """Patterns, each with a spelling that has none of its rule's keywords: none, for right rules."""
+    return [(pattern, s) for _, _, _, keywords, pattern in _parts(text) for s in sorted(spellings(pattern)) if not set(keywords) & set(s.split(" "))]
+
+
+def read_rules(text: str = RULES) -> dict[bytes, list[Rule]]:
+    """Rules by keyword, from lines ``label; weight; keywords; pattern`` in order of rank. A rule is under each of its keywords."""
+    rules: dict[bytes, list[Rule]] = {}
+    for rank, label, weight, keywords, pattern in _parts(text):
+        compiled = re.compile(b"(?<= )(?:" + pattern.encode() + b")(?= )")
+        if any(alnum_words(k) != [k.encode()] for k in keywords) or compiled.search(b"  "):
+            raise ValueError(f"not a rule: {label}; {', '.join(keywords[:4])}; {pattern}")
+        rule = Rule(rank, label, float(weight), compiled)
+        for keyword in keywords:
+            rules.setdefault(keyword.encode(), []).append(rule)
     return rules
 
 
@@ -96,10 +153,9 @@ def scan(words: list[bytes], rules: dict[bytes, list[Rule]], base: dict[bytes, s
             places.append((word_at(at + 1), label))
             at = line.find(b" " + phrase + b" ", at + 1)
     found = []
-    for keyword in keywords:
-        for rule in rules[keyword]:
-            for match in rule.pattern.finditer(line):
-                found.append((word_at(match.start()), word_at(match.end() + 1) - 1, rule))
+    for rule in {r.rank: r for keyword in keywords for r in rules[keyword]}.values():
+        for match in rule.pattern.finditer(line):
+            found.append((word_at(match.start()), word_at(match.end() + 1) - 1, rule))
     return sorted(places), suppressed(found)
 
 
@@ -107,6 +163,8 @@ def scan_licenses(docs: DataFrame, rules: str = RULES, base: dict[str, str] = BA
     """Words, base places and detections of every whole text: ``FOUND``. Words count from 0."""
     phrases = {b" ".join(alnum_words(phrase)): label for phrase, label in base.items()}
     read_rules(rules)  # errors show here, not in a task
+    if gaps := ungated(rules):
+        raise ValueError(f"not in its rule's keywords: {gaps[0][1]!r} of {gaps[0][0]!r}")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compiled = read_rules(rules)

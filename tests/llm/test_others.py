@@ -161,6 +161,34 @@ def test_signatures(text, want):
     assert {label for _, _, label in labels(text)[1]} == want
 
 
+def test_keywords_lose_no_match_of_any_rule_and_spelling():
+    assert licenses.ungated() == []
+    assert licenses.ungated("x; 1; b; a b?") == [("a b?", "a ")]
+    keyed = licenses.read_rules()
+    rules = list({r.rank: r for own in keyed.values() for r in own}.values())
+    tried = set()
+    for _, _, _, _, pattern in licenses._parts(licenses.RULES):
+        for spelling in random.Random(0).sample(told := sorted(licenses.spellings(pattern)), min(len(told), 200)):
+            text = spelling.replace(licenses.ANY, "7").strip()
+            words = licenses.alnum_words(text)
+            line = b" " + b" ".join(words) + b" "
+            found = [(line[: m.start()].count(b" ") - 1, line[: m.end()].count(b" ") - 1, r) for r in rules for m in r.pattern.finditer(line)]
+            assert licenses.scan(words, keyed, {})[1] == licenses.suppressed(found), text
+            tried |= {r.rank for _, _, r in found}
+    assert tried == {r.rank for r in rules}
+
+
+@pytest.mark.parametrize("text,want", [
+    ("End-User License Agreement", {"eula"}), ("Open Software License version 3.0", {"osl-3.0"}), ("FreeBSD license", {"bsd-2-clause"}),
+    ("for noncommercial use only", {"non-commercial"}), ("Beerware license", {"beerware"}), ("Open RAIL-M license", {"openrail"}), ("\u00a92020", {"copyright"}),
+    ("Common Development and Distribution License Version 1.1", {"cddl-1.1"}),
+    ("The above copyright notice and this permission notice shall be included in all copies or substantial portions", {"mit"}),
+    ("Permission to use, copy, modify, and distribute this software and its documentation", {"hpnd"}),
+])
+def test_rules_whose_keyword_was_not_in_the_text(text, want):
+    assert {label for _, _, label in labels(text)[1]} == want
+
+
 def test_suppression_keeps_no_interval_within_a_better_one():
     r = random.Random(0)
     rule = lambda rank: licenses.Rule(rank, str(rank), 1.0, None)
