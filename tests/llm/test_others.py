@@ -323,6 +323,44 @@ def test_best_class_gains_what_the_likelihood_gains():
         assert values[best] == pytest.approx(max(values)) and gain == pytest.approx(max(values) - now)
 
 
+def test_many_words_choose_as_each_alone():
+    r = np.random.default_rng(4)
+    pairs = r.integers(0, 9, (40, 40)) * (r.random((40, 40)) < 0.2)
+    pairs = pairs + pairs.T
+    of = np.append(r.integers(0, 5, 38), [5, 6])
+    joint = np.zeros((7, 7))
+    np.add.at(joint, (of[:, None], of[None, :]), pairs)
+    words = np.arange(38)
+    before, after = (np.array([np.bincount(of, x[w], 7) for w in words]) for x in (pairs.T, pairs))
+    best, gain = classlm.best_classes(joint, of[words], before, after, np.diagonal(pairs)[words], 5)
+    want = [classlm.best_class(joint, of[w], before[w], after[w], pairs[w, w], 5) for w in words]
+    assert gain == pytest.approx([g for _, g in want]) and (best == [b for b, _ in want]).all()
+
+
+def test_all_words_of_five_tokens_have_classes_and_neighbours(spark, sample):
+    df, rows = sample
+    chunks = classlm.tokenise(df.select("doc_id", F.lit(True).alias("train"), "text"), 3000)
+    totals, stats = classlm.word_totals(chunks)
+    tokens = [[*(t or "").encode().lower().split(), b"\n"] for _, t, _ in rows]
+    counts = collections.Counter(w for own in tokens for w in own)
+    listed = stats.words.listed()
+    assert len(listed) == len({w for w, _ in listed}) and dict(listed) == {w: n for w, n in counts.items() if n >= 5 or w == b"\n"}
+    assert any(n < 5e-5 * stats.tokens or n == 5 for _, n in listed)
+    pairs = classlm.bigrams(chunks, stats.words)
+    of, joint = classlm.exchange(pairs, stats, classes=4, rounds=0)
+    number = {w: i for i, (w, _) in enumerate(listed)}
+    kind = lambda w: of[number.get(w, len(listed))]
+    want = np.zeros((6, 6))
+    for c in chunks.collect():  # the last of a chunk stands before its first
+        own = [bytes(c.words[i]) for i in c.tokens]
+        for a, b in zip([own[-1], *own], own):
+            want[kind(a), kind(b)] += 1
+    assert (joint == want).all()
+    last = classlm.exchange(pairs, stats, classes=4)[1]
+    value = lambda j: classlm._entropy(j).sum() - 2 * classlm._entropy(j.sum(axis=1)).sum()
+    assert value(last) > value(joint) and last.sum() == stats.tokens
+
+
 def test_class_model_of_odd_rows(spark, odd, none):
     learn = odd.withColumn("train", F.col("doc_id") != 5)
     rows = classlm.score_documents(learn, chunk_tokens=4).collect()
