@@ -70,14 +70,15 @@ def tfidf_stages(text: str = "text", features: int = 5000, min_doc_freq: int = 2
     ]
 
 
-def category_stages(column: str = "community", values: Sequence[str] = (), slots: int = 256) -> list:
-    """A vector with a slot for each listed value and one for all others; without a list, a hashed
-    vector of so many slots. Neither gathers the column's values on the driver."""
+def category_stages(column: str = "community", values: Sequence[str] = (), slots: int = 256, others: bool = True) -> list:
+    """A vector with a slot for each listed value and a last one for all others and null; without a list, a hashed
+    vector of so many slots. Neither gathers the column's values on the driver. Without ``others``
+    these have no slot but all zeros, as models ask of one category."""
     if not values:
         return [FeatureHasher(inputCols=[column], outputCol=f"{column}_vec", numFeatures=slots, categoricalCols=[column])]
     return [
         StringIndexerModel.from_labels(list(values), inputCol=column, outputCol=f"{column}_idx", handleInvalid="keep"),
-        OneHotEncoder(inputCols=[f"{column}_idx"], outputCols=[f"{column}_vec"]),
+        OneHotEncoder(inputCols=[f"{column}_idx"], outputCols=[f"{column}_vec"], dropLast=not others),
     ]
 
 
@@ -87,7 +88,7 @@ def content_stages(
     assembler = VectorAssembler(
         inputCols=["tfidf", f"{column}_vec", *CONTENT_NUMBERS, *extra], outputCol="features", handleInvalid="skip"
     )
-    return [*tfidf_stages("text", features, min_doc_freq), *category_stages(column, values), assembler]
+    return [*tfidf_stages("text", features, min_doc_freq), *category_stages(column, values, others=False), assembler]
 
 
 def fit(stages: list, train: DataFrame) -> PipelineModel:

@@ -334,3 +334,14 @@ def test_models_are_judged_on_the_same_rows_and_repeat(spark):
     test = {r["id"] for r in models.regression_rows(df)[1].collect()}
     assert {r["id"] for r in both.collect()} == test
     assert sorted(map(tuple, both.collect())) == sorted(map(tuple, again.collect()))
+
+
+def test_values_that_are_not_listed_share_the_last_slot(spark):
+    from pyspark.ml import Pipeline
+
+    from agorascope.operators import models
+
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "other"), (4, None)], "id bigint, community string")
+    encoded = Pipeline(stages=models.category_stages(values=["a", "b"])).fit(df).transform(df)
+    got = models.vector_values(encoded, "id", "community_vec").collect()
+    assert sorted(map(tuple, got)) == [(1, 0, 1.0), (2, 1, 1.0), (3, 2, 1.0), (4, 2, 1.0)]
