@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_dir, use_utc
-from . import classlm, decontaminate, langid, licenses, onebit, packing, simhash, sql, suffixdedup, tokenbin, urlfilter
+from . import classlm, decontaminate, langid, licenses, onebit, packing, simhash, sql, suffixdedup, tagpaths, tokenbin, urlfilter
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -129,3 +129,9 @@ def op3_repeated_passages(spark, folder):
         "doc_id", (F.octet_length("kept") + F.col("n_removed")).alias("n_bytes"), "n_removed",
         F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query
+def op11_main_text(spark, folder):
+    """The main text of every page."""
+    return tagpaths.extract_text(read(spark, folder, "pages"))
