@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_dir, use_utc
-from . import classlm, decontaminate, langid, licenses, onebit, packing, simhash, sql, suffixdedup, tagpaths, tokenbin, urlfilter
+from . import classlm, collocations, decontaminate, langid, licenses, onebit, packing, simhash, sql, suffixdedup, tagpaths, tokenbin, urlfilter
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -135,3 +135,11 @@ def op3_repeated_passages(spark, folder):
 def op11_main_text(spark, folder):
     """The main text of every page."""
     return tagpaths.extract_text(read(spark, folder, "pages"))
+
+
+def op13_collocations(spark, folder):
+    """Each language's first 2000 phrases of two to four words."""
+    return collocations.collocations(read(spark, folder, "documents")).drop("k")
+
+
+query(op13_collocations, sql.COLLOCATIONS)

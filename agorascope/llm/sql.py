@@ -47,3 +47,40 @@ SELECT page_id, host, path, best.rule AS rule,
     coalesce(best.verdict, CASE WHEN {listed} THEN 'block' ELSE 'allow' END) AS verdict
 FROM m
 """
+
+COLLOCATIONS = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents WHERE text IS NOT NULL
+),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang),
+sizes AS (SELECT unnest([1, 2, 3, 4]) AS size),
+starts AS (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM words, sizes WHERE len(w) >= size),
+counts AS (
+  SELECT lang, size, w[i : i + size - 1] AS phrase, count(*) AS f
+  FROM starts GROUP BY ALL HAVING count(*) >= 30
+),
+cuts AS (
+  SELECT c.lang, c.phrase, c.f AS a, first.size AS k, first.f AS l, rest.f AS r,
+    (2000000::HUGEINT * c.f // (first.f::HUGEINT + rest.f))::BIGINT AS score
+  FROM counts c
+  JOIN counts first ON first.lang = c.lang AND first.size < c.size AND first.phrase = c.phrase[1 : first.size]
+  JOIN counts rest ON rest.lang = c.lang AND rest.size = c.size - first.size AND rest.phrase = c.phrase[first.size + 1 : c.size]
+),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+parts AS (
+  SELECT c.lang, c.f, s.size AS part_size, unnest([c.phrase[j : j + s.size - 1] FOR j IN range(1, c.size - s.size + 2)]) AS part
+  FROM counts c, sizes s WHERE s.size >= 2 AND s.size < c.size
+),
+replaced AS (SELECT lang, part AS phrase, max(f) AS f FROM parts GROUP BY lang, part),
+ranked AS (
+  SELECT w.*, array_to_string(w.phrase, ' ') AS joined
+  FROM lowest w LEFT JOIN replaced x ON x.lang = w.lang AND x.phrase = w.phrase
+  WHERE x.f IS NULL OR 100::HUGEINT * x.f < 80::HUGEINT * w.a
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, joined) AS rank, joined AS phrase, a, l, r, n, score
+FROM ranked JOIN totals USING (lang)
+QUALIFY rank <= 2000
+"""
