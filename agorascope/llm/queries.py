@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_dir, use_utc
-from . import classlm, collocations, decontaminate, langid, licenses, onebit, packing, simhash, sql, suffixdedup, tagpaths, tokenbin, urlfilter
+from . import boxtree, classlm, collocations, decontaminate, langid, licenses, onebit, packing, simhash, sql, suffixdedup, tagpaths, tokenbin, urlfilter
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -143,3 +143,12 @@ def op13_collocations(spark, folder):
 
 
 query(op13_collocations, sql.COLLOCATIONS)
+
+
+def op12_hard_negatives(spark, folder):
+    """Rows of other labels within 30 to 90 percent of each positive's score, for every hundredth vector."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return boxtree.mine(read(spark, folder, "embeddings").select("vec_id", "embedding", label.alias("label")))
+
+
+query(op12_hard_negatives, sql.HARD_NEGATIVES)
