@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.numeric import percent
+from .curves import curve_areas
 from .skew import ranked_histogram
 
 
@@ -112,11 +113,19 @@ def averages(classes: DataFrame) -> DataFrame:
     )
 
 
-def classification_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    """Accuracy, weighted precision, recall and F1, with the majority rate to compare against."""
-    return averages(per_class(df, label, prediction)).select(
+def classification_metrics(df: DataFrame, label: str, prediction: str, score: str | None = None) -> DataFrame:
+    """Accuracy, weighted precision, recall and F1, with the majority rate to compare against.
+
+    With the ``score`` of a binary classifier (higher for label 1), the exact areas under the ROC
+    and the precision-recall curve too.
+    """
+    metrics = averages(per_class(df, label, prediction)).select(
         "accuracy", "majority_rate", "weighted_precision", "weighted_recall", "weighted_f1", "support"
     )
+    if score is None:
+        return metrics
+    areas = curve_areas(df, label, score)
+    return metrics.withColumns({area: areas.select(area).scalar() for area in ("auc_roc", "auc_pr")})
 
 
 def class_report(df: DataFrame, label: str, prediction: str) -> DataFrame:

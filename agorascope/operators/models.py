@@ -10,7 +10,6 @@ from collections.abc import Sequence
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import (
     IDF,
     FeatureHasher,
@@ -145,12 +144,12 @@ def term_weights(texts: DataFrame, key: str = "id", text: str = "text", min_doc_
 
 def viral_classifier(
     posts: DataFrame, key: str = "id", extra: Sequence[str] = (), features: int = 5000,
-    trees: int = 100, depth: int = 10, seed: int = 42, label: str = "is_viral",
+    trees: int = 100, depth: int = 10, seed: int = 42, label: str = "is_viral", communities: Sequence[str] = (),
 ) -> tuple[PipelineModel, DataFrame]:
-    """Random forest for the top-score label."""
+    """Random forest for the top-score label; listed communities have a slot each, as in the regressions."""
     train, test = split_rows(posts, key, seed=seed)
     forest = RandomForestClassifier(featuresCol="features", labelCol=label, numTrees=trees, maxDepth=depth, seed=seed)
-    model = fit([*content_stages(extra, features=features, min_doc_freq=0), forest], train)
+    model = fit([*content_stages(extra, features=features, min_doc_freq=0, values=communities), forest], train)
     return model, model.transform(test)
 
 
@@ -191,17 +190,15 @@ def sentiment_classifier(
 
 
 def binary_report(predictions: DataFrame, label: str) -> DataFrame:
-    """Metrics of a binary classifier with the areas under both curves, one row."""
-    evaluator = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction")
-    scored = predictions.select(label, "rawPrediction", F.col("prediction").cast("int").alias("prediction"))
+    """Metrics of a binary classifier with the exact areas under both curves, one row."""
+    scored = predictions.select(
+        label, F.col("prediction").cast("int").alias("prediction"), vector_to_array(F.col("rawPrediction"))[1].alias("__score")
+    )
     kept = scored.persist(StorageLevel.MEMORY_AND_DISK)
-    roc = evaluator.setMetricName("areaUnderROC").evaluate(kept)
-    pr = evaluator.setMetricName("areaUnderPR").evaluate(kept)
-    metrics = evaluation.classification_metrics(kept, label, "prediction")
+    metrics = evaluation.classification_metrics(kept, label, "prediction", "__score")
     row = metrics.first()
     kept.unpersist()
-    one = predictions.sparkSession.createDataFrame([row], metrics.schema)
-    return one.withColumn("auc_roc", F.lit(roc)).withColumn("auc_pr", F.lit(pr))
+    return predictions.sparkSession.createDataFrame([row], metrics.schema)
 
 
 def prediction_sample(predictions: DataFrame, key: str = "id", k: int = 5000, columns: Sequence[str] = ("community", "title", "score", "log_score")) -> DataFrame:

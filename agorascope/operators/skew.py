@@ -67,41 +67,43 @@ def salted_join(
     return salted_big.join(salted_small, [key, "__salt"], how).drop("__salt")
 
 
-def ranked_histogram(df: DataFrame, value: str, descending: bool = False) -> DataFrame:
-    """Distinct values with their row count ``n``, the rows ranked before them ``before`` and
-    all rows ``total``, without sorting the rows and without a one-partition window.
+def running_sums(counted: DataFrame, value: str, sums: Sequence[str], descending: bool = False) -> DataFrame:
+    """``value`` and ``sums`` of a table with one row per value, with ``<sum>_before`` (over the
+    values ranked before) and ``<sum>_total``, without a one-partition window.
 
-    Rows are first counted per distinct value. The distinct values fall into ranges cut at
-    sketched quantiles; running counts are taken within each range in parallel and shifted by
-    the totals of the ranges before (at most SPLITS + 1 rows). Exact, however uneven the sketch.
+    The values fall into ranges cut at sketched quantiles; running sums are taken within each
+    range in parallel and shifted by the totals of the ranges before (at most SPLITS + 1 rows).
+    Exact, however uneven the sketch.
     """
-    hist = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("n"))
-    cuts = hist.agg(
+    cuts = counted.agg(
         F.percentile_approx(value, [i / SPLITS for i in range(1, SPLITS)], 2000).alias("cuts")
     ).scalar()
     # Never null, so that the join below cannot push a null test, and with it the search for the
     # range, down to the rows.
     below = F.coalesce(F.size(F.filter(F.col("__cuts"), lambda c: c < F.col(value))), F.lit(0))
-    ranged = hist.withColumn("__cuts", cuts).withColumn("__range", -below if descending else below).drop("__cuts")
+    ranged = counted.withColumn("__cuts", cuts).withColumn("__range", -below if descending else below).drop("__cuts")
     whole = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy()
-    totals = (
-        ranged.groupBy("__range").agg(F.sum("n").alias("__rows"))
-        .select(
-            "__range",
-            F.coalesce(F.sum("__rows").over(whole), F.lit(0)).alias("__shift"),
-            F.sum("__rows").over(everything).alias("total"),
-        )
+    totals = ranged.groupBy("__range").agg(*[F.sum(s).alias(f"__{s}") for s in sums]).select(
+        "__range",
+        *[F.coalesce(F.sum(f"__{s}").over(whole), F.lit(0)).alias(f"__{s}_shift") for s in sums],
+        *[F.sum(f"__{s}").over(everything).alias(f"{s}_total") for s in sums],
     )
     order = F.col(value).desc() if descending else F.col(value).asc()
     inside = Window.partitionBy("__range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        ranged.withColumn("__in", F.coalesce(F.sum("n").over(inside), F.lit(0)))
-        .join(F.broadcast(totals), "__range")
-        .select(value, "n", (F.col("__in") + F.col("__shift")).alias("before"), "total")
+    running = ranged.withColumns({f"__{s}_in": F.coalesce(F.sum(s).over(inside), F.lit(0)) for s in sums})
+    return running.join(F.broadcast(totals), "__range").select(
+        value, *sums, *[(F.col(f"__{s}_in") + F.col(f"__{s}_shift")).alias(f"{s}_before") for s in sums], *[f"{s}_total" for s in sums]
     )
 
 
+def ranked_histogram(df: DataFrame, value: str, descending: bool = False) -> DataFrame:
+    """Distinct values with their row count ``n``, the rows ranked before them ``before`` and
+    all rows ``total``; rows are counted per value first, and not sorted."""
+    hist = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("n"))
+    return running_sums(hist, value, ["n"], descending).withColumnsRenamed({"n_before": "before", "n_total": "total"})
+
+
 def grouped_median(df: DataFrame, keys: Sequence[str], values: Sequence[str], splits: int = SPLITS) -> DataFrame:
     """Exact interpolated medians of columns per group, in one pass over the rows.
 

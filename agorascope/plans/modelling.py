@@ -141,7 +141,7 @@ def model_comparison(spark, folder):
     return b.rounded(ev.compare_models(_predicted(spark, folder), "log_score", "first", "second"))
 
 
-JUDGED = """judged AS (SELECT l.doc_id, l.quality AS label, CAST(d.n_chars % 2 AS INTEGER) AS prediction
+JUDGED = """judged AS (SELECT l.doc_id, l.quality AS label, CAST(d.n_chars % 2 AS INTEGER) AS prediction, d.n_chars % 97 AS score
   FROM labels l JOIN documents d USING (doc_id))"""
 CLASSES = """classes AS (
   SELECT c AS class, count(*) FILTER (label = c AND prediction = c) AS tp, count(*) FILTER (prediction = c) AS predicted,
@@ -154,16 +154,28 @@ means AS (SELECT sum(tp) / sum(support) AS accuracy, max(support) / sum(support)
 
 
 def _judged(spark, folder):
-    documents = b.table(spark, folder, "documents").select("doc_id", (F.col("n_chars") % 2).cast("int").alias("prediction"))
+    documents = b.table(spark, folder, "documents").select(
+        "doc_id", (F.col("n_chars") % 2).cast("int").alias("prediction"), (F.col("n_chars") % 97).alias("score")
+    )
     labels = b.table(spark, folder, "labels").select("doc_id", F.col("quality").alias("label"))
     return labels.join(documents, "doc_id")
 
 
-@query("classification_metrics", b.with_ctes(JUDGED, CLASSES) + """
+CURVES = """points AS (
+  SELECT *, coalesce(sum(p) OVER earlier, 0) AS p0, coalesce(sum(n) OVER earlier, 0) AS n0, sum(p) OVER () AS pt, sum(n) OVER () AS nt
+  FROM (SELECT score, count(*) FILTER (label = 1) AS p, count(*) FILTER (label <> 1) AS n FROM judged GROUP BY score)
+  WINDOW earlier AS (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+areas AS (SELECT sum(n * (p0 + p / 2)) / max(pt * nt) AS auc_roc,
+    sum(p * ((p0 + p) / (p0 + p + n0 + n) + CASE WHEN p0 + n0 > 0 THEN p0 / (p0 + n0) ELSE p / (p + n) END) / 2) / max(pt) AS auc_pr
+  FROM points)"""
+
+
+@query("classification_metrics", b.with_ctes(JUDGED, CLASSES, CURVES) + """
 SELECT round(accuracy, 6) AS accuracy, round(majority_rate, 6) AS majority_rate, round(wp, 6) AS weighted_precision,
-       round(wr, 6) AS weighted_recall, round(wf, 6) AS weighted_f1, support FROM means""")
+       round(wr, 6) AS weighted_recall, round(wf, 6) AS weighted_f1, support, round(auc_roc, 6) AS auc_roc, round(auc_pr, 6) AS auc_pr
+FROM means, areas""")
 def classification_metrics(spark, folder):
-    return b.rounded(ev.classification_metrics(_judged(spark, folder), "label", "prediction"))
+    return b.rounded(ev.classification_metrics(_judged(spark, folder), "label", "prediction", "score"))
 
 
 @query("confusion_matrix", b.with_ctes(JUDGED) + """
@@ -353,14 +365,14 @@ def _viral_texts(df):
 
 @query("viral_classifier_content")
 def viral_classifier_content(spark, folder):
-    _, scored = models.viral_classifier(_viral_texts(_featured(spark, folder)))
+    _, scored = models.viral_classifier(_viral_texts(_featured(spark, folder)), communities=b.SOURCES)
     return models.binary_report(scored, "is_viral")
 
 
 @query("viral_classifier_early")
 def viral_classifier_early(spark, folder):
     extra = ["early_comment_count", "early_comment_avg_score", "early_comment_score_std"]
-    _, scored = models.viral_classifier(_viral_texts(_featured_early(spark, folder)), extra=extra)
+    _, scored = models.viral_classifier(_viral_texts(_featured_early(spark, folder)), extra=extra, communities=b.SOURCES)
     return models.binary_report(scored, "is_viral")
 
 
