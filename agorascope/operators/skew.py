@@ -105,51 +105,44 @@ def ranked_histogram(df: DataFrame, value: str, descending: bool = False) -> Dat
 
 
 def grouped_median(df: DataFrame, keys: Sequence[str], values: Sequence[str], splits: int = SPLITS) -> DataFrame:
-    """Exact interpolated medians of columns per group, in one pass over the rows.
-
-    Rows are counted per (group, column, value) first. The distinct values of a group fall into
-    ranges cut at sketched quantiles; the counts of the ranges (at most ``splits`` for a group) tell
-    which ones hold the middle, and only within these are values put in order. So a group with as
-    many distinct values as rows isn't ordered in one task. One output column ``<value>_median`` per input column.
+    """Exact interpolated medians of columns per group, in one lazy plan and one pass over the rows.
+
+    Rows are counted per (group, column, value) first, and all that follows reads the shuffle of
+    these counts. A mergeable sketch of a group's distinct values cuts them into ranges; exact
+    counts of the ranges (at most ``splits`` for a group) tell the one or two that hold the middle,
+    and only within these are values put in order. So a group with as many distinct values as rows isn't ordered
+    in one task. Which joins broadcast is left to AQE, which sees the sizes. One output column
+    ``<value>_median`` per input column.
     """
     pairs = [(F.lit(v), named(v).cast("double")) for v in values]
     groups = [f"__k{i}" for i in range(len(keys))]
     long = df.select(*[named(k).alias(g) for k, g in zip(keys, groups)], as_rows(("__column", "__value"), pairs))
     group = [*groups, "__column"]
     counted = long.where(F.col("__value").isNotNull()).groupBy(*group, "__value").agg(F.count(F.lit(1)).alias("__n"))
-
-    def beside(rows: DataFrame, other: DataFrame) -> DataFrame:
-        """Rows with what another table has for their group; null keys are groups too."""
-        renamed = other.withColumnsRenamed({g: f"{g}_" for g in group})
-        # A row for each group: broadcast if these are few, else left to a join that can split groups with many rows.
-        small = F.broadcast(renamed) if fits(renamed, GROUPS_BROADCAST_MAX) else renamed
-        same = reduce(and_, [F.col(g).eqNullSafe(F.col(f"{g}_")) for g in group])
-        return rows.join(small, same).drop(*[f"{g}_" for g in group])
-
-    cuts = counted.groupBy(*group).agg(
-        F.percentile_approx("__value", [i / splits for i in range(1, splits)], 2000).alias("__cuts")
+    # Equal values differ in no key but null ones, which join here too.
+    same = [F.coalesce(F.col(g).cast("string"), F.lit("")).alias(f"__same{i}") for i, g in enumerate(group)]
+    same += [F.col(g).isNull().alias(f"__null{i}") for i, g in enumerate(group)]
+    keyed = counted.select("*", *same)
+    by = [f"__{kind}{i}" for kind in ("same", "null") for i in range(len(group))]
+
+    # The total keeps the counts in this branch, so that it is the same shuffle as the other's.
+    cuts = keyed.groupBy(*by).agg(
+        F.percentile_approx("__value", [i / splits for i in range(1, splits)], 2000).alias("__cuts"), F.sum("__n").alias("__all")
     )
     below = F.coalesce(F.size(F.filter(F.col("__cuts"), lambda c: c < F.col("__value"))), F.lit(0))
-    ranged = beside(counted, cuts).withColumn("__range", below).drop("__cuts")
+    ranged = keyed.join(cuts, by).withColumn("__range", below).drop("__cuts")
 
-    part = Window.partitionBy(*group)
-    totals = ranged.groupBy(*group, "__range").agg(F.sum("__n").alias("__rows")).select(
-        *group, "__range", "__rows", F.sum("__rows").over(part).alias("__all"),
-        F.sum("__rows").over(part.orderBy("__range").rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("__upto"),
-    )
+    upto = Window.partitionBy(*by).orderBy("__range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    totals = ranged.groupBy(*by, "__range").agg(F.sum("__n").alias("__rows"), F.max("__all").alias("__all")).withColumn("__upto", F.sum("__rows").over(upto))
     low, high = F.floor((F.col("__all") + 1) / 2), F.floor((F.col("__all") + 2) / 2)
 
     def holds(rank: Column, rows: str) -> Column:
         return (F.col("__upto") - F.col(rows) < rank) & (F.col("__upto") >= rank)
 
-    # The two middle ranks lie in at most two ranges.
-    middle = totals.where(holds(low, "__rows") | holds(high, "__rows")).groupBy(*group).agg(
-        F.max("__all").alias("__all"),
-        F.collect_list(F.struct(F.col("__range").alias("r"), (F.col("__upto") - F.col("__rows")).alias("shift"))).alias("__ranges"),
-    )
-    kept = beside(ranged, middle).withColumn("__ranges", F.filter("__ranges", lambda x: x["r"] == F.col("__range"))).where(F.size("__ranges") > 0)
-    inside = Window.partitionBy(*group, "__range").orderBy("__value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = kept.withColumn("__upto", F.sum("__n").over(inside) + F.col("__ranges")[0]["shift"])
+    middle = totals.where(holds(low, "__rows") | holds(high, "__rows")).select(*by, "__range", (F.col("__upto") - F.col("__rows")).alias("__shift"))
+    kept = ranged.join(middle, [*by, "__range"])
+    inside = Window.partitionBy(*by, "__range").orderBy("__value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = kept.withColumn("__upto", F.sum("__n").over(inside) + F.col("__shift"))
 
     def at(rank: Column, column: str) -> Column:
         return F.max(F.when((F.col("__column") == column) & holds(rank, "__n"), F.col("__value")))

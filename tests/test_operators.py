@@ -111,6 +111,19 @@ def test_grouped_median_with_many_ranges_and_null_groups(spark):
     assert whole == statistics.median(r[1] for r in data if r[1] is not None)
 
 
+def test_medians_are_planned_without_a_job_and_count_once(spark):
+    df = spark.range(3000).select((F.col("id") % 3).alias("g"), (F.col("id") * 7 % 1000).alias("x"), F.rand(1).alias("y"))
+    df = df.repartition(4, "x")
+    tracker = spark.sparkContext.statusTracker()
+    before = set(tracker.getJobIdsForGroup(None))
+    medians = skew.grouped_median(df, ["g"], ["x", "y"])
+    assert set(tracker.getJobIdsForGroup(None)) == before
+    assert medians.count() == 3
+    medians.collect()
+    plan = medians._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Range (0, 3000") == 1  # all that follows reads one shuffle of counts
+
+
 def test_names_of_any_form(spark, rows):
     from agorascope.operators import hygiene, launch, mentions
     from agorascope.sources.profile import dataset_profile
