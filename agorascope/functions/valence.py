@@ -5,6 +5,11 @@ Sentiment Analysis of Social Media Text": word valences, boosters and negators a
 preceding words with their exceptions, emphasis by capitals (of boosters too) and punctuation, the shift at "but", and the squashing
 s / sqrt(s^2 + 15). The word list is a parameter; ``presets`` has a small one of our own.
 
+Words are runs of letters of any script and apostrophes. Entries of several words ("to die for",
+"kind of") are found first, the longest at each place, and stand as one word from then on, whether they
+have a valence, boost or negate; words inside them don't count for themselves. Entries with other signs
+are emoticons: they count where white space or an end of the text stands around them.
+
 Everything stays inside Spark expressions, so scoring adds neither a Python worker nor a
 shuffle. Word sets become literal IN-lists (hash lookups), which suits lists of up to some
 thousand words.
@@ -12,6 +17,7 @@ thousand words.
 
 from __future__ import annotations
 
+import unicodedata
 from collections import defaultdict
 from dataclasses import dataclass, field
 from functools import reduce
@@ -20,6 +26,8 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .binding import let
+from .phrases import longest_phrases, merged
+from .text import quote
 
 # Fixed values from the paper.
 NORMALIZER = 15.0
@@ -35,6 +43,10 @@ BEFORE_BUT = 0.5
 AFTER_BUT = 1.5
 
 
+#: Letters and marks of any script, and apostrophes.
+WORD = r"[\p{L}\p{M}']+"
+
+
 @dataclass(frozen=True)
 class ValenceLexicon:
     words: dict[str, float]
@@ -42,6 +54,22 @@ class ValenceLexicon:
     negators: frozenset[str] = frozenset()
     contrast: str = "but"
 
+    def entries(self) -> set[str]:
+        return {*self.words, *self.boosters, *self.negators}
+
+    def phrases(self) -> list[str]:
+        """Entries of several words."""
+        return sorted(e for e in self.entries() if " " in e)
+
+    def emoticons(self) -> list[str]:
+        """Entries that are no words, the longest first."""
+        return sorted((e for e in self.entries() if not all(c.isalpha() or c in "' " or unicodedata.category(c)[0] == "M" for c in e)), key=lambda e: (-len(e), e))
+
+    def token(self) -> str:
+        """The pattern of a token."""
+        faces = "|".join(map(quote, self.emoticons()))
+        return rf"(?<!\S)(?i:{faces})(?!\S)|{WORD}" if faces else WORD
+
 
 def _lookup(word: Column, values: dict[str, float], default: float | None = 0.0) -> Column:
     """Value of a word: one hash-set test per distinct value rather than per word."""
@@ -92,7 +120,7 @@ def _hit_score(text: Column, i: Column, lexicon: ValenceLexicon) -> Column:
         sign = F.signum(value)
 
         def shouted(word: Column) -> Column:
-            return F.when(text["mixed"] & (F.upper(word) == word) & (F.length(word) > 1), CAPITALS).otherwise(0.0)
+            return F.when(text["mixed"] & _is_capitals(word), CAPITALS).otherwise(0.0)
 
         total = value + sign * shouted(raw)
         for distance, weight in enumerate(DAMPING, start=1):
@@ -109,6 +137,10 @@ def _hit_score(text: Column, i: Column, lexicon: ValenceLexicon) -> Column:
     return let(_lookup(F.get(words, i), lexicon.words), in_context) * but_weight
 
 
+def _is_capitals(word: Column) -> Column:
+    return (F.upper(word) == word) & (F.lower(word) != word) & (F.length(word) > 1)
+
+
 def _punctuation(text: Column) -> Column:
     bangs = F.least(F.length(text) - F.length(F.replace(text, F.lit("!"), F.lit(""))), F.lit(4))
     marks = F.length(text) - F.length(F.replace(text, F.lit("?"), F.lit("")))
@@ -124,14 +156,18 @@ def valence(text: Column, lexicon: ValenceLexicon) -> Column:
     """
     vocabulary = sorted(lexicon.words)
 
-    def is_capitals(w: Column) -> Column:
-        return (F.upper(w) == w) & (F.length(w) > 1)
+    # Most texts have no two letters in a row that aren't lower case; only the others need a look at each token.
+    maybe_capitals = F.rlike(text, F.lit(r"[\p{L}\p{M}'&&[^\p{Ll}]]{2}"))
+    phrases = lexicon.phrases()
 
-    # Most texts have no two capitals in a row; only the others need a look at each token.
-    maybe_capitals = F.rlike(text, F.lit("[A-Z'][A-Z']"))
+    def whole_phrases(raw: Column) -> Column:
+        if not phrases:
+            return raw
+        lowered = F.transform(raw, lambda w: F.lower(w))
+        return let(let(lowered, lambda words: longest_phrases(words, phrases)), lambda found: merged(raw, found))
 
     def prepare(raw: Column) -> Column:
-        capitals = F.when(maybe_capitals, F.size(F.filter(raw, is_capitals))).otherwise(0)
+        capitals = F.when(maybe_capitals, F.size(F.filter(raw, _is_capitals))).otherwise(0)
         return F.struct(
             raw.alias("raw"),
             F.transform(raw, lambda w: F.lower(w)).alias("words"),
@@ -150,8 +186,8 @@ def valence(text: Column, lexicon: ValenceLexicon) -> Column:
         return F.aggregate(t["hits"], F.lit(0.0), lambda acc, i: acc + _hit_score(t, i, lexicon))
 
     whole = F.coalesce(text, F.lit(""))
-    raw = F.regexp_extract_all(whole, F.lit("[A-Za-z']+"), F.lit(0))
-    s = let(raw, lambda r: let(prepare(r), lambda p: let(locate(p), total)))
+    raw = F.regexp_extract_all(whole, F.lit(lexicon.token()), F.lit(0))
+    s = let(let(raw, whole_phrases), lambda r: let(prepare(r), lambda p: let(locate(p), total)))
     stressed = let(s, lambda t: t + F.signum(t) * _punctuation(whole))
     return F.round(let(stressed, lambda t: t / F.sqrt(t * t + NORMALIZER)), 4)
 

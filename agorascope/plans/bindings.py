@@ -266,9 +266,10 @@ VALENCE = ValenceLexicon(
     words={
         "best": 3.2, "great": 3.1, "with": 0.9, "for": 0.6, "is": 0.4, "le": 0.5, "el": 0.7,
         "hate": -2.7, "license": -0.8, "was": -0.9, "der": -0.6, "que": -0.5, "at": -0.7, "worthless": -1.9,
+        "of the": 0.8, "is that of": -1.3, "für": 0.6, ":)": 2.0, "<3": 1.9,
     },
-    boosters={"the": 0.293, "of": -0.293, "la": 0.293},
-    negators=frozenset(["and", "un", "und"]),
+    boosters={"the": 0.293, "of": -0.293, "la": 0.293, "in the": -0.293, "für die": 0.293},
+    negators=frozenset(["and", "un", "und", "to the"]),
     contrast="as",
 )
 PRODUCT = "(?i)(the|la|der)"

@@ -30,10 +30,27 @@ def _emotion_lexicon(spark):
 
 # --- valence in SQL: tokens unnested, context by window functions -----------------------------
 
+def _capitals(raw: str) -> str:
+    return f"(upper({raw}) = {raw} AND lower({raw}) <> {raw} AND length({raw}) > 1)"
+
+
 def _loud(distance: str) -> str:
     """What capitals of the word so far before add to it as a booster."""
-    r = f"c.r{distance}"
-    return f"CASE WHEN d.caps > 0 AND d.caps < d.n AND upper({r}) = {r} AND length({r}) > 1 THEN 0.733 ELSE 0 END"
+    return f"CASE WHEN d.caps > 0 AND d.caps < d.n AND {_capitals(f'c.r{distance}')} THEN 0.733 ELSE 0 END"
+
+
+def _tokens(text: str) -> str:
+    """Words, and emoticons between white space; then phrases as one of them, the longest first."""
+    v = b.VALENCE
+    chunks = f"string_split_regex({text}, '[ \\t\\n\\x0B\\f\\r]+')"
+    letters = r"regexp_extract_all(c, '[\pL\pM'']+')"
+    faces = f"CASE WHEN lower(c) IN {in_list(v.emoticons())} THEN [c] ELSE {letters} END" if v.emoticons() else letters
+    tokens = f"flatten(list_transform({chunks}, lambda c: {faces}))"
+    if not v.phrases():
+        return tokens
+    longest_first = "|".join(sorted((p.replace("'", "''") for p in v.phrases()), key=lambda p: -len(p.split())))
+    joined = f"array_to_string({tokens}, ' ')"
+    return f"list_transform(regexp_extract_all({joined}, '(?i:{longest_first})(?: |$)|[^ ]+(?: |$)'), lambda t: rtrim(t))"
 
 
 def valence_ctes(source: str, key: str, text: str) -> str:
@@ -42,16 +59,16 @@ def valence_ctes(source: str, key: str, text: str) -> str:
     return f"""
 {values_table('valence', 'w, v', sorted(v.words.items()))},
 {values_table('booster', 'w, b', sorted(v.boosters.items()))},
-raws AS (SELECT {key} AS k, {text} AS txt, regexp_extract_all({text}, '[A-Za-z'']+') AS raws FROM {source}),
+raws AS (SELECT {key} AS k, {text} AS txt, {_tokens(text)} AS raws FROM {source}),
 tok AS (SELECT k, unnest(raws) AS raw, unnest(range(1, len(raws) + 1)) AS pos FROM raws),
 word AS (SELECT *, lower(raw) AS w FROM tok),
 ctx AS (SELECT *, lag(w, 1) OVER o AS w1, lag(w, 2) OVER o AS w2, lag(w, 3) OVER o AS w3,
                lag(raw, 1) OVER o AS r1, lag(raw, 2) OVER o AS r2, lag(raw, 3) OVER o AS r3
         FROM word WINDOW o AS (PARTITION BY k ORDER BY pos)),
-doc AS (SELECT k, count(*) AS n, count(*) FILTER (upper(raw) = raw AND length(raw) > 1) AS caps,
+doc AS (SELECT k, count(*) AS n, count(*) FILTER ({_capitals('raw')}) AS caps,
                coalesce(min(pos) FILTER (w = {quoted(v.contrast)}), 0) AS but_at FROM word GROUP BY k),
 hit AS (SELECT c.k, c.pos,
-   (v.v + CASE WHEN d.caps > 0 AND d.caps < d.n AND upper(c.raw) = c.raw AND length(c.raw) > 1 THEN sign(v.v) * 0.733 ELSE 0 END
+   (v.v + CASE WHEN d.caps > 0 AND d.caps < d.n AND {_capitals('c.raw')} THEN sign(v.v) * 0.733 ELSE 0 END
         + coalesce(b1.b + {_loud('1')}, 0) * sign(v.v) + coalesce(b2.b + {_loud('2')}, 0) * sign(v.v) * 0.95
         + coalesce(b3.b + {_loud('3')}, 0) * sign(v.v) * 0.9)
    * CASE WHEN c.w1 IN {in_list(sorted(v.negators))} THEN -0.74 ELSE 1 END

@@ -134,11 +134,14 @@ VALENCE = ValenceLexicon(
         "faulty": -1.8, "frustrating": -2.1, "garbage": -2.0, "hate": -2.7, "horrible": -2.5,
         "issue": -0.9, "pain": -2.2, "poor": -2.1, "problem": -1.7, "regret": -1.8, "sucks": -1.7,
         "terrible": -2.3, "uncomfortable": -1.7, "useless": -1.9, "waste": -1.8, "worse": -2.1, "worst": -3.1,
+        # Idioms and emoticons.
+        "to die for": 3.0, "kiss of death": -1.5, "yeah right": -2.0, "broken heart": -2.9, "bad ass": 1.5, "the bomb": 3.0, "waste of time": -2.2,
+        ":)": 2.0, ":-)": 2.0, ";)": 1.5, ":d": 2.3, "<3": 1.9, ":(": -1.9, ":-(": -1.9, ":/": -1.2, ":'(": -2.2,
     },
     boosters={
         "very": 0.293, "really": 0.293, "extremely": 0.293, "absolutely": 0.293, "so": 0.293, "incredibly": 0.293,
         "totally": 0.293, "too": 0.293, "slightly": -0.293, "somewhat": -0.293, "barely": -0.293, "kinda": -0.293,
-        "almost": -0.293, "hardly": -0.293,
+        "almost": -0.293, "hardly": -0.293, "kind of": -0.293, "sort of": -0.293, "just enough": -0.293, "a little": -0.293, "by far": 0.293,
     },
     negators=frozenset([
         "not", "no", "never", "none", "nothing", "without", "cannot", "can't", "don't", "doesn't", "didn't",

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from agorascope import presets
-from agorascope.functions import numeric, sampling, text as tx, time as tm
+from agorascope.functions import numeric, phrases, sampling, text as tx, time as tm
 from agorascope.functions.binding import add_kept
 from agorascope.functions.valence import ValenceLexicon, add_valence, category
 
@@ -147,6 +147,58 @@ def test_valence_rules(spark, text, total):
     assert add_valence(df, "t", WORDS).first()["sentiment_score"] == pytest.approx(squash(total), abs=1e-4)
 
 
+PHRASES = ValenceLexicon(
+    {"good": 2.0, "bad": -2.0, "für": 1.0, "bad ass": 1.5, "kiss of death": -1.5, "bus stop": 0.0, "kiss": 1.0, "stop": -1.0, ":)": 2.0, "<3": 1.9, ":d": 2.3, ":-(": -1.9},
+    {"very": 0.293, "kind of": -0.293, "kind of very": 0.5}, frozenset({"not", "far from"}),
+)
+
+
+@pytest.mark.parametrize("text,total", [
+    ("a kiss of death", -1.5),  # an idiom counts instead of its words
+    ("a kiss of Death, really", -1.5),
+    ("a kiss of a death", 1.0),
+    ("BAD ASS day", 1.5 + 0.733),
+    ("bad bad ass", -2.0 + 1.5),
+    ("at the bus stop", 0.0),
+    ("stop at the bus", -1.0),
+    ("not a kiss of death", -1.5 * -0.74),
+    ("very bad ass", 1.5 + 0.293),
+    ("kind of good", 2.0 - 0.293),  # boosters of two words, at the distance of one
+    ("kind of x good", 2.0 - 0.293 * 0.95),
+    ("kind of very good", 2.0 + 0.5),  # the longest
+    ("kind of bad", -2.0 + 0.293),
+    ("KIND OF good", 2.0 - 0.293 + 0.733),
+    ("kind off good", 2.0),
+    ("far from good", 2.0 * -0.74),  # a negator of two words
+    ("far good", 2.0),
+    ("fun :)", 2.0),
+    (":) :)", 4.0),
+    ("fun:)", 0.0),
+    ("(:)", 0.0),
+    ("well :D", 2.3),
+    ("not :)", 2.0 * -0.74),
+    ("good <3 but :-(", 2.0 * 0.5 + 1.9 * 0.5 - 1.9 * 1.5),
+    ("bus :) stop", 2.0 - 1.0),  # an emoticon is a word between others
+    ("für", 1.0),  # letters of any script
+    ("fü r", 0.0),
+    ("FÜR alle", 1.0 + 0.733),
+    ("中文 good", 2.0),  # no capitals, as there is no lower case
+])
+def test_valence_of_phrases_and_emoticons(spark, text, total):
+    df = spark.createDataFrame([(text,)], "t string")
+    assert add_valence(df, "t", PHRASES).first()["sentiment_score"] == pytest.approx(squash(total), abs=1e-4)
+
+
+def test_longest_phrases_from_left_to_right(spark):
+    known = ["a b", "b c", "a b c d", "d e", "x"]
+    df = spark.createDataFrame([("a b c d e",), ("a b c",), ("b c d e x",), ("a",), ("",), ("e a",)], "t string")
+    words = F.filter(F.split("t", " "), lambda w: w != "")
+    found = df.select("t", phrases.merged(words, phrases.longest_phrases(words, known)).alias("m"))
+    assert {r.t: r.m for r in found.collect()} == {
+        "a b c d e": ["a b c d", "e"], "a b c": ["a b", "c"], "b c d e x": ["b c", "d e", "x"], "a": ["a"], "": [], "e a": ["e", "a"]}
+    assert values(df, F.size(phrases.longest_phrases(words, []))) == [0] * 6
+
+
 def test_category_edges(spark):
     df = spark.createDataFrame([(0.05,), (0.049,), (-0.05,), (-0.049,)], "s double")
     assert values(df, category(F.col("s"))) == ["Positive", "Neutral", "Negative", "Neutral"]
