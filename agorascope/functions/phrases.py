@@ -6,6 +6,7 @@ matters: what is looked up is each token, and the few n-grams that start with a
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column, functions as F
@@ -63,3 +64,39 @@ def merged(words: Column, found: Column) -> Column:
 
     joined = F.filter(F.transform(F.sequence(F.lit(0), F.size(words) - 1), token), lambda t: t.isNotNull())
     return F.when(F.size(found) > 0, joined).otherwise(words)
+
+
+#: Words and what stands between them, as ``text.WORD_START`` and ``text.WORD_END`` see words.
+PIECES = "[a-z0-9_]+|[^a-z0-9_]+"
+LONGEST_TERM = 4
+
+
+def looked_up(term: str) -> bool:
+    """Whether a term can be found by lookups: it starts and ends with a word character and has at most ``LONGEST_TERM`` words."""
+    return bool(re.fullmatch(r"[a-z0-9_](.*[a-z0-9_])?", term, re.DOTALL)) and len(re.findall("[a-z0-9_]+", term)) <= LONGEST_TERM
+
+
+def found_terms(lowered: Column, terms: Iterable[str]) -> Column:
+    """The terms, of those that ``looked_up`` allows, that stand in a text as whole words.
+
+    At each word that some term begins with, the text from there over one to four words is looked up with
+    what stands between them. So the cost is one lookup for each word, whatever the number of terms.
+    """
+    by_size: dict[int, list[str]] = {}
+    for term in terms:
+        by_size.setdefault(len(re.findall("[a-z0-9_]+", term)), []).append(term)
+    all_terms = sorted({t for group in by_size.values() for t in group})
+    firsts = {re.match("[a-z0-9_]+", t)[0] for t in all_terms}
+
+    def spans(pieces: Column) -> Column:
+        places = F.filter(F.sequence(F.lit(1), F.size(pieces)), lambda i: among(F.element_at(pieces, i), firsts))
+
+        def own(i: Column) -> Column:
+            # Words and what parts them take turns, so n words are 2n - 1 pieces.
+            several = F.array(*[F.array_join(F.slice(pieces, i, F.lit(2 * n - 1)), "") for n in sorted(by_size)])
+            return F.filter(several, lambda span: among(span, all_terms))
+
+        return F.flatten(F.transform(places, own))
+
+    pieces = F.regexp_extract_all(F.coalesce(lowered, F.lit("")), F.lit(PIECES), F.lit(0))
+    return let(pieces, lambda p: F.when(F.size(p) > 0, spans(p)).otherwise(F.array().cast("array<string>")))

@@ -16,12 +16,15 @@ from operator import and_, or_
 from pyspark.sql import Column, functions as F
 
 from .binding import let
+from .phrases import among, found_terms, looked_up
 
 Term = str | dict[str, str]
 
 WORD_START = "(?<![a-z0-9_])"
 WORD_END = "(?![a-z0-9_])"
 TOKEN = "[a-z']+"
+#: Word-bounded literals beyond which they are looked up word by word instead of searched for one by one.
+SEARCHED_MAX = 32
 
 
 def quote(literal: str) -> str:
@@ -38,8 +41,14 @@ def alternation(terms: Sequence[Term]) -> str:
     return "|".join(t["re"] if isinstance(t, dict) else quote(t.lower()) for t in terms)
 
 
+def any_of(tests: Sequence[Column]) -> Column:
+    """Whether any test holds, as a balanced tree: a chain of thousands is too deep for the analyser."""
+    half = len(tests) // 2
+    return tests[0] if len(tests) == 1 else any_of(tests[:half]) | any_of(tests[half:])
+
+
 def _contains_any(lowered: Column, literals: Sequence[str]) -> Column:
-    return reduce(or_, [F.contains(lowered, F.lit(t.lower())) for t in literals])
+    return any_of([F.contains(lowered, F.lit(t.lower())) for t in literals])
 
 
 def mentions(lowered: Column, terms: Sequence[Term], word: bool = False) -> Column:
@@ -47,11 +56,15 @@ def mentions(lowered: Column, terms: Sequence[Term], word: bool = False) -> Colu
 
     Plain substrings use ``contains``, a byte search inside generated code that costs next to
     nothing. Patterns go through the regular expression engine, all in one. So do word-bounded
-    literals, but only in texts that contain one of them at all.
+    literals, but only in texts that contain one of them at all; many of them are looked up word by word.
     """
     literals = [t for t in terms if isinstance(t, str)]
     patterns = [t for t in terms if isinstance(t, dict)]
+    known = {t.lower() for t in literals if looked_up(t.lower())} if word else set()
     tests = []
+    if len(known) > SEARCHED_MAX:
+        tests.append(F.size(found_terms(lowered, known)) > 0)
+        literals = [t for t in literals if t.lower() not in known]
     if literals:
         found = _contains_any(lowered, literals)
         tests.append(found & F.rlike(lowered, F.lit(word_pattern(literals))) if word else found)
@@ -93,10 +106,28 @@ def occurrences(lowered: Column, term: Term, word: bool = False) -> Column:
 
 
 def matched_names(lowered: Column, dictionary: dict[str, Sequence[Term]], word: bool = False) -> Column:
-    """Array of the dictionary entries that a text mentions."""
-    return F.array_compact(
-        F.array(*[F.when(mentions(lowered, terms, word), name) for name, terms in dictionary.items()])
-    )
+    """Array of the dictionary entries that a text mentions.
+
+    In ``word`` mode a dictionary of many literals is looked up: the text is cut into words once, whatever
+    the number of terms and entries. Terms that begin or end with other signs, or have more words
+    than are looked up, and patterns are searched for as in ``mentions``.
+    """
+    lowered_terms = {name: [t if isinstance(t, dict) else t.lower() for t in terms] for name, terms in dictionary.items()}
+    known = {name: {t for t in terms if isinstance(t, str) and looked_up(t)} for name, terms in lowered_terms.items()}
+    every = set().union(*known.values()) if known else set()
+    if not word or len(every) <= SEARCHED_MAX:
+        tests = {name: mentions(lowered, terms, word) for name, terms in dictionary.items()}
+        return F.array_compact(F.array(*[F.when(test, name) for name, test in tests.items()]))
+
+    def entries(found: Column) -> Column:
+        def test(name: str) -> Column:
+            rest = [t for t in lowered_terms[name] if isinstance(t, dict) or t not in known[name]]
+            own = F.exists(found, lambda t: among(t, known[name]))
+            return own | mentions(lowered, rest, word) if rest else own
+
+        return F.array_compact(F.array(*[F.when(test(name), name) for name in dictionary]))
+
+    return let(found_terms(lowered, every), entries)
 
 
 def assemble(title: Column, body: Column, nulls: str = "skip") -> Column:

@@ -16,9 +16,8 @@ Dictionary = dict[str, Sequence[tx.Term]]
 
 def feature_mentions(df: DataFrame, lowered: str, features: Dictionary, word: bool = False) -> DataFrame:
     """Rows mentioning each feature, zero included, in one scan and one aggregate."""
-    counts = df.agg(*[
-        F.count_if(tx.mentions(F.col(lowered), terms, word)).alias(f"f{i}") for i, terms in enumerate(features.values())
-    ])
+    named = df.select(tx.matched_names(F.col(lowered), features, word).alias("__names"))
+    counts = named.agg(*[F.count_if(F.array_contains("__names", name)).alias(f"f{i}") for i, name in enumerate(features)])
     return counts.select(as_rows(("feature", "mentions"), [(F.lit(name), F.col(f"f{i}")) for i, name in enumerate(features)]))
 
 

@@ -1,6 +1,7 @@
 """Column expressions on edge cases."""
 
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from agorascope import presets
 from agorascope.functions import numeric, phrases, sampling, text as tx, time as tm
 from agorascope.functions.binding import add_kept
 from agorascope.functions.valence import ValenceLexicon, add_valence, category
+from agorascope.operators import mentions
 
 
 def values(df, expr):
@@ -199,6 +201,25 @@ def test_longest_phrases_from_left_to_right(spark):
     assert values(df, F.size(phrases.longest_phrases(words, []))) == [0] * 6
 
 
+def test_many_whole_word_terms_by_lookup_as_by_pattern(spark):
+    r = random.Random(7)
+    parts = ["usb", "c", "b&o", "life", "battery", "5.3", "naïve", "x_y", "noise", "anc", "-", "a"]
+    many = {"w%d" % i for i in range(3000)} | {"battery life", "usb-c", "usb c", "5.3", "noise  anc", "b&o", "a b c d", "a b c d e", ".net", "c++", "x_y", "Battery", "naïve"}
+    terms = sorted(many)
+    dictionary = {"one": terms[::3], "two": terms[1::3], "three": terms[2::3] + [{"re": "li[fv]es?"}], "none": ["zzz"]}
+    texts = ["".join(r.choice(parts + ["w%d" % r.randint(0, 4000)]) + r.choice([" ", " ", "  ", "-", "", "++", "."]) for _ in range(r.randint(0, 9))) for _ in range(300)]
+    df = spark.createDataFrame([(t,) for t in [*texts, "a b c d e", "use .net", "x.net", "c++", "noise anc", "noise  anc", "my lives", "", None]], "t string")
+    want = {n: F.rlike("t", F.lit(tx.word_pattern(terms))) for n, terms in dictionary.items()}
+    rows = df.select("t", tx.matched_names(F.col("t"), dictionary, word=True).alias("names"), *[F.coalesce(w, F.lit(False)).alias(n) for n, w in want.items()]).collect()
+    for row in rows:
+        assert row.names == [n for n in dictionary if row[n]]
+    assert sum(len(row.names) for row in rows) > 100
+    single = df.select(*[F.coalesce(tx.mentions(F.col("t"), terms, word=True), F.lit(False)).alias(n) for n, terms in dictionary.items()]).collect()
+    assert [tuple(s) for s in single] == [tuple(row[n] for n in dictionary) for row in rows]
+    counts = mentions.feature_mentions(df, "t", dictionary, word=True).collect()
+    assert {c.feature: c.mentions for c in counts} == {n: sum(row[n] for row in rows) for n in dictionary}
+
+
 def test_category_edges(spark):
     df = spark.createDataFrame([(0.05,), (0.049,), (-0.05,), (-0.049,)], "s double")
     assert values(df, category(F.col("s"))) == ["Positive", "Neutral", "Negative", "Neutral"]
