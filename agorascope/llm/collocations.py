@@ -4,7 +4,7 @@ Texts are tokenised once, into chunks of one language: rows with many documents'
 and the words that they stand for. Then phrases are counted by length. A phrase of ``n`` words can be
 frequent only if its first and its last ``n - 1`` words are, so it is a pair of frequent shorter
 phrases that overlap, and each is one number: a pair of numbers stands for a phrase of any length.
-Chunks add up their own pairs, so a pair is shuffled once for each chunk at most and combined before that;
+Chunks add up their own pairs, so a pair is shuffled once for each chunk at most;
 the frequent ones get numbers, which go back to the chunks that hold them. Nothing that has to be
 looked up lies on the driver, and a chunk's part of the numbers is bounded by its tokens.
 
@@ -42,6 +42,8 @@ TOP = 2000
 #: Percent of a phrase's count with which a longer one replaces it.
 SHARE = 80
 SCALE = 2_000_000
+#: Parts of a language's phrases that are ranked apart before they are ranked together.
+PARTS = 64
 #: Tokens of a chunk, and of all chunks that a task builds at a time.
 CHUNK_TOKENS, HELD_TOKENS = 1 << 21, 1 << 23
 #: Pairs that are handed over at once.
@@ -116,9 +118,17 @@ def tokenise(docs: DataFrame, chunk_tokens: int = CHUNK_TOKENS) -> DataFrame:
     return stored(arrow_map(rows, build, _CHUNKS), "chunks")
 
 
-def _numbered(counts: DataFrame, least: int, label: str) -> DataFrame:
-    """The frequent ones, each with a number of its own, written: so numbers stay as they are."""
-    return stored(counts.where(F.col("f") >= least).withColumn("id", F.monotonically_increasing_id()), label)
+def _frequent(rows: DataFrame, keys: list[str], least: int, label: str) -> DataFrame:
+    """The rows ``(chunk, place, *keys, n)`` whose key's counts reach ``least`` together, with that sum ``f`` and the key's number ``id``.
+
+    A key has one row for each chunk at most, so its rows meet in one shuffle, and what is
+    found goes back to the chunks without another one by the key. Numbers are those of a key's first row in its
+    task; they are written with the rows, so that they stay as they are.
+    """
+    whole = Window.partitionBy(*keys)
+    numbered = rows.repartition(*keys).withColumn("row", F.monotonically_increasing_id())
+    summed = numbered.withColumns({"f": F.sum("n").over(whole), "id": F.min("row").over(whole)})
+    return stored(summed.where(F.col("f") >= least).select("chunk", "place", *keys, "f", "id", (F.col("row") == F.col("id")).alias("first")), label)
 
 
 def _overlaps(state: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -181,14 +191,13 @@ def count_phrases(docs: DataFrame, least: int = LEAST_COUNT, longest: int = LONG
     totals = chunks.groupBy("lang").agg(F.sum("n").alias("n"))
     each = F.posexplode(F.arrays_zip("words", "counts")).alias("place", "word")
     words = chunks.select("chunk", "lang", each).where("place > 0").select("chunk", "lang", (F.col("place") - 1).alias("place"), F.col("word.words").alias("phrase"), F.col("word.counts").alias("n"))
-    levels = [_numbered(words.groupBy("lang", "phrase").agg(F.sum("n").alias("f")), least, "words")]
-    known = _places(words.join(levels[0].drop("f"), ["lang", "phrase"]))
+    found = _frequent(words, ["lang", "phrase"], least, "words")
+    levels = [found.where("first").select("lang", "phrase", "f", "id")]
     states = chunks
     for length in range(2, longest + 1):
-        states = _advance(states, known, length > 2)
-        pairs = _pairs(states)
-        levels.append(_numbered(pairs.groupBy("a", "b").agg(F.sum("n").alias("f")), least, f"phrases-{length}"))
-        known = _places(pairs.drop("n").join(levels[-1].drop("f"), ["a", "b"]))
+        states = _advance(states, _places(found), length > 2)
+        found = _frequent(_pairs(states), ["a", "b"], least, f"phrases-{length}")
+        levels.append(found.where("first").select("a", "b", "f", "id"))
     return totals, levels
 
 
@@ -236,9 +245,12 @@ def collocations(docs: DataFrame, least: int = LEAST_COUNT, longest: int = LONGE
         replaced = F.lit(100).cast("decimal(3,0)") * F.col("longer").cast(whole) >= F.lit(share).cast("decimal(3,0)") * F.col("f").cast(whole)
         own = found.where(~F.coalesce(replaced, F.lit(False))).select("lang", "phrase", "f", F.expr(_CUT).alias("cut"))
         kept = own if kept is None else kept.union(own)
-    order = Window.partitionBy("lang").orderBy(F.desc("cut.score"), F.desc("f"), "phrase")
-    # Each task keeps its own best rows of a language before they meet.
-    ranked = kept.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    def best(rows: DataFrame, *parts: str) -> DataFrame:
+        order = Window.partitionBy("lang", *parts).orderBy(F.desc("cut.score"), F.desc("f"), "phrase")
+        return rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+
+    # The best rows of a language's parts first: what meets for its ranks is bounded, however many phrases it has.
+    ranked = best(best(kept.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(PARTS))), "part"))
     return ranked.join(totals, "lang").select(
         "lang", F.col("rank").cast("bigint").alias("rank"), "phrase", F.col("f").alias("a"), F.col("cut.l").alias("l"),
         F.col("cut.r").alias("r"), "n", F.col("cut.score").alias("score"), F.col("cut.k").alias("k"),
