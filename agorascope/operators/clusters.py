@@ -17,6 +17,7 @@ from ..functions.binding import add_kept
 from ..functions.numeric import percent
 from ..functions.valence import ValenceLexicon, valence
 from .mentions import Dictionary
+from .resampling import exact_sample
 
 
 def pain_point_vectors(
@@ -46,21 +47,28 @@ def fit_kmeans(points: DataFrame, k: int, seed: int = 42) -> KMeansModel:
     return KMeans(k=k, seed=seed, featuresCol="features", weightCol="weight", predictionCol="cluster").fit(points)
 
 
-def kmeans_sweep(vectors: DataFrame, columns: Sequence[str], ks: Sequence[int] = range(2, 10), seed: int = 42) -> DataFrame:
+def kmeans_sweep(
+    vectors: DataFrame, columns: Sequence[str], ks: Sequence[int] = range(2, 10), seed: int = 42,
+    key: str | None = None, judged_rows: int | None = None,
+) -> DataFrame:
     """Inertia and silhouette per k over all rows, with the best k by silhouette marked.
 
+    With ``judged_rows``, silhouettes are those of a sample of exactly so many rows by ``key``.
+
     ``on_boundary`` says that the best k is the largest tried, so the range was too short.
     There is a row for each k. One that can't be fitted, since there are no more distinct vectors than
     clusters or fewer than two clusters, has ``tried`` false and null measures.
     """
     points = weighted_points(vectors, columns).persist(StorageLevel.MEMORY_AND_DISK)
     distinct = points.count()
+    judged = points if judged_rows is None else weighted_points(exact_sample(vectors, key, judged_rows, seed=seed), columns).persist(StorageLevel.MEMORY_AND_DISK)
     evaluator = ClusteringEvaluator(featuresCol="features", predictionCol="cluster", weightCol="weight")
     rows = []
     for k in (k for k in ks if 1 < k < distinct):
         model = fit_kmeans(points, k, seed)
-        rows.append((k, float(model.summary.trainingCost), float(evaluator.evaluate(model.transform(points)))))
+        rows.append((k, float(model.summary.trainingCost), float(evaluator.evaluate(model.transform(judged)))))
     points.unpersist()
+    judged.unpersist()
     best = max(rows, key=lambda r: (r[2], -r[0]))[0] if rows else None
     last = max(ks)
     measured = {k: (cost, score) for k, cost, score in rows}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as tx, time as tm
-from ..operators import activity as act, hygiene
+from ..operators import activity as act, hygiene, resampling
 from . import bindings as b
 from .registry import query
 from .sqltext import has_any, key_fraction, normalized, utc
@@ -112,6 +112,13 @@ def sample_rows(spark, folder):
     return hygiene.sample_rows(b.activity(spark, folder), "id", 0.25).select("id", "community")
 
 
+@query("exact_sample_rows", b.with_ctes(b.ACTIVITY) + f"""
+SELECT id, community FROM activity QUALIFY row_number() OVER (PARTITION BY community ORDER BY {key_fraction('id', 42)}, id) <= 150""")
+def exact_sample_rows(spark, folder):
+    """Exactly 150 events of each kind."""
+    return resampling.exact_sample(b.activity(spark, folder).select("id", "community"), "id", 150, ["community"])
+
+
 @query("split_train_test", b.with_ctes(b.POSTS) + f"""
 SELECT id, CASE WHEN {key_fraction('id', 42)} < 0.8 THEN 'train' ELSE 'test' END AS part FROM posts""")
 def split_train_test(spark, folder):
