@@ -415,14 +415,16 @@ def sentiment_weak_labels(spark, folder):
     return texts.select("id", br.list_sentiment(F.lower("body"), b.POSITIVE, b.NEGATIVE).alias("sentiment"))
 
 
-def _importance(spark, posts, extra=()):
+def _importance(spark, posts, extra=(), named=False):
     model, scored = models.engagement_regression(posts, extra=extra, communities=b.SOURCES)
-    return imp.feature_importance(spark, model, imp.feature_names(scored))
+    texts = models.regression_rows(posts)[0].select("text") if named else None
+    return imp.feature_importance(spark, model, imp.feature_names(scored), texts=texts)
 
 
 @query("feature_importance")
 def feature_importance(spark, folder):
-    return _importance(spark, _featured(spark, folder))
+    """All slots by importance, the leading text slots with the terms that they stand for."""
+    return _importance(spark, _featured(spark, folder), named=True)
 
 
 @query("importance_comparison")

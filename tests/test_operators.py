@@ -297,6 +297,29 @@ def test_importances_carry_true_names(spark):
     assert set(totals) == {"TF-IDF", "Community", "Text_Length", "Temporal"} and sum(totals.values()) == pytest.approx(100)
 
 
+def test_text_slots_are_named_by_their_terms(spark):
+    from pyspark.ml.feature import HashingTF
+
+    data = [(i, f"title word{i % 3} Größe{i % 7} the and x{i % 40}", "body text", i % 11, 1700000000 + i * 5000, f"c{i % 2}") for i in range(120)]
+    df = spark.createDataFrame(data, "id int, title string, selftext string, score int, created_utc long, community string")
+    posts = models.content_time_features(df)
+    model, scored = models.engagement_regression(posts, features=32, trees=3, depth=3, communities=["c0", "c1"])
+    found = importance.slot_terms(posts, model, range(32)).collect()
+    hashing = HashingTF(numFeatures=32)
+    want = {}
+    for _, title, body, *_ in data:
+        for term in set(f"{title} {body}".lower().split()) - {"the", "and"}:
+            want[term] = want.get(term, 0) + 1
+    assert {r.term: (r.slot, r.documents) for r in found} == {t: (hashing.indexOf(t), n) for t, n in want.items()}
+    table = importance.feature_importance(spark, model, importance.feature_names(scored), texts=posts, named_slots=4, k=2)
+    named = [r for r in table.orderBy("rank").collect() if r.terms]
+    assert table.count() == 32 + 2 + 4 and 0 < len(named) <= 4 and all(r.feature.startswith("tfidf_") for r in named)
+    for r in named:
+        own = sorted((t for t in want if hashing.indexOf(t) == int(r.feature[6:])), key=lambda t: (-want[t], t))
+        assert r.terms == own[:2] and r.n_terms == len(own)
+    assert importance.slot_terms(posts, model, []).count() == 0
+
+
 def test_presets_with_their_operators(spark, rows):
     texts = spark.createDataFrame([(1, "galaxy buds 2 vs sony wf-1000xm4 linkbuds"), (2, "I love this, great fit"), (3, "waste of money, the battery is dead"), (4, "AirPods Pro second gen")], "id int, t string")
     low = F.lower("t")
