@@ -90,12 +90,16 @@ def content_stages(
     return [*tfidf_stages("text", features, min_doc_freq), *category_stages(column, values, others=False), assembler]
 
 
-def fit(stages: list, train: DataFrame) -> PipelineModel:
+def fit(stages: list, train: DataFrame, key: str) -> PipelineModel:
     """Fit a pipeline, keeping the input at hand for the passes that the estimators make.
 
-    Blocks lost with an executor are recomputed from the source.
+    Rows are dealt by their key to as many tasks as the session works with, whatever the files they
+    come from: a forest passes over them once for each level of its trees. Blocks lost with an
+    executor are recomputed from the source, and the key deals and orders them as before, so a fit repeats.
     """
-    kept = train.persist(StorageLevel.MEMORY_AND_DISK)
+    spark = train.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    kept = train.repartition(tasks, key).sortWithinPartitions(key).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return Pipeline(stages=stages).fit(kept)
     finally:
@@ -113,7 +117,7 @@ def engagement_regression(
         featuresCol="features", labelCol="log_score", numTrees=trees, maxDepth=depth,
         minInstancesPerNode=min_instances, subsamplingRate=subsample, seed=seed,
     )
-    model = fit([*content_stages(extra, features=features, values=communities), forest], train)
+    model = fit([*content_stages(extra, features=features, values=communities), forest], train, key)
     return model, model.transform(test)
 
 
@@ -149,7 +153,7 @@ def viral_classifier(
     """Random forest for the top-score label; listed communities have a slot each, as in the regressions."""
     train, test = split_rows(posts, key, seed=seed)
     forest = RandomForestClassifier(featuresCol="features", labelCol=label, numTrees=trees, maxDepth=depth, seed=seed)
-    model = fit([*content_stages(extra, features=features, min_doc_freq=0, values=communities), forest], train)
+    model = fit([*content_stages(extra, features=features, min_doc_freq=0, values=communities), forest], train, key)
     return model, model.transform(test)
 
 
@@ -164,7 +168,7 @@ def suspicious_classifier(
         StandardScaler(inputCol="raw_features", outputCol="features"),
         RandomForestClassifier(featuresCol="features", labelCol="is_suspicious", numTrees=trees, maxDepth=depth, seed=seed),
     ]
-    model = fit(stages, train)
+    model = fit(stages, train, key)
     return model, model.transform(test)
 
 
@@ -185,7 +189,7 @@ def sentiment_classifier(
         ),
         IndexToString(inputCol="prediction", outputCol=f"predicted_{label}", labels=indexer.labels),
     ]
-    model = fit(stages, train)
+    model = fit(stages, train, key)
     return model, model.transform(test)
 
 

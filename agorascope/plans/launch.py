@@ -9,7 +9,7 @@ from ..functions.valence import add_valence, category
 from ..operators import hygiene, launch, topics
 from . import bindings as b
 from .registry import query
-from .sqltext import quoted, utc
+from .sqltext import in_list, quoted, utc
 from .textmine import valence_ctes
 
 CORPUS = f"""united AS (
@@ -145,3 +145,28 @@ def launch_summary(spark, folder):
 @query("topics_by_period")
 def topics_by_period(spark, folder):
     return topics.topics_by_period(_corpus(spark, folder), [launch.PRE, launch.POST])
+
+
+@query("topic_fit")
+def topic_fit(spark, folder):
+    """How well each period's topics fit a tenth of its texts that they were not learned from."""
+    return topics.topic_fit(spark, topics.fit_topics(_corpus(spark, folder), [launch.PRE, launch.POST], train=0.9))
+
+
+@query("paired_topics")
+def paired_topics(spark, folder):
+    """Topics before and after the event, the closest pairs first."""
+    before, after = topics.fit_topics(_corpus(spark, folder), [launch.PRE, launch.POST])
+    return topics.paired_topics(spark, before, after)
+
+
+@query("period_vocabulary", BASE + f""",
+said AS (SELECT key, period, unnest(string_split_regex(lower(text), '[ \\t\\n\\x0B\\f\\r]')) AS term FROM corpus),
+counted AS (SELECT period, term, count(*) AS occurrences, count(DISTINCT key) AS documents FROM said
+  WHERE term <> '' AND term NOT IN {in_list(topics.FORUM_STOP_WORDS)} GROUP BY 1, 2),
+sizes AS (SELECT period, count(*) AS period_documents FROM corpus GROUP BY 1)
+SELECT period, term, occurrences, documents, period_documents FROM counted JOIN sizes USING (period) WHERE documents >= 5
+QUALIFY row_number() OVER (PARTITION BY period ORDER BY occurrences DESC, term) <= 1000""")
+def period_vocabulary(spark, folder):
+    """The words that each period's topics are made of."""
+    return topics.period_vocabulary(_corpus(spark, folder), stop_words=topics.FORUM_STOP_WORDS)
