@@ -9,7 +9,7 @@ ODD = [
 @pytest.fixture(scope="session")
 def odd(spark):
     """Null and empty texts, repeated rows and ids, no id, a long text, and columns named as those that operators add."""
-    names = ["score", "host", "path", "rule", "key", "rest", "spans", "kept", "code", "part", "a.b", "tick`s"]
+    names = ["score", "host", "path", "rule", "key", "rest", "spans", "kept", "code", "part", "a.b", "tick`s", "_row", "__key", "__hash", "_best", "_hosts", "row", "there", "hash"]
     rows = [(k, t, None, *("x" for _ in names)) for k, t in ODD]
     kinds = ", ".join("`" + n.replace("`", "``") + "` string" for n in names)
     return spark.createDataFrame(rows, f"doc_id bigint, text string, lang string, {kinds}")

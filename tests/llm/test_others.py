@@ -25,6 +25,15 @@ def library():
 
 # Token ids
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_ids_of_any_tokenizer_file_are_the_librarys(sample, name):
+    own, whole = Encoder(public_tokenizers.path(name)), Tokenizer.from_file(public_tokenizers.path(name))
+    assert own.known_rule == (name == "word_bpe_49k.json")
+    texts = ["Mixed CASE, don't  stop\n\n42 times; é ß 中文 \U0001F600 <|endoftext|> x", " lead and trail \t", "", *[t for _, t, _ in sample[1] if t][:40]]
+    for text in texts:
+        assert np.frombuffer(own.encode(text), own.dtype).tolist() == whole.encode(text, add_special_tokens=False).ids
+
+
 def test_encoder_gives_the_librarys_ids(library, sample):
     tool = Encoder(PATH)
     texts = [t for _, t, _ in sample[1]] + [
@@ -361,6 +370,38 @@ def test_all_words_of_five_tokens_have_classes_and_neighbours(spark, sample):
     assert value(last) > value(joint) and last.sum() == stats.tokens
 
 
+def test_scores_by_brute_force(spark, sample):
+    """Every text's probability from plain counts of the classes that the exchange finds."""
+    df, rows = sample
+    learn = df.withColumn("train", F.col("doc_id") % 3 != 0)
+    got = {r.doc_id: r.score for r in classlm.score_documents(learn, classes=6, rounds=3).collect()}
+    chunks = classlm.tokenise(learn)
+    _, stats = classlm.word_totals(chunks)
+    of, _ = classlm.exchange(classlm.bigrams(chunks, stats.words), stats, classes=6, rounds=3)
+    number = {w: i for i, (w, _) in enumerate(stats.words.listed())}
+    tokens = {k: [*(t or "").encode().lower().split(), b"\n"] for k, t, _ in rows}
+    counts = collections.Counter(w for k, own in tokens.items() if k % 3 for w in own)
+    kind = {w: int(of[number[w]]) if w in number else 6 for own in tokens.values() for w in own}
+    joint = np.zeros((8, 8))
+    for c in chunks.collect():  # the last of a chunk stands before its first
+        learned = np.repeat(c.train, c.sizes)
+        own = [kind[bytes(c.words[i])] for i, use in zip(c.tokens, learned) if use]
+        for a, b in zip([own[-1], *own], own):
+            joint[a, b] += 1
+    size = joint.sum(axis=0)
+    rare = sum(n for w, n in counts.items() if w not in number)
+    distinct = sum(w not in number for w in counts)
+    share = (size + 0.5) / (size.sum() + 0.5 * 8)
+    for k, own in tokens.items():
+        want, before = 0.0, 7
+        for w in own:
+            c = kind[w]
+            step = (joint[before, c] + classlm.SMOOTHING * share[c]) / (joint[before].sum() + classlm.SMOOTHING)
+            word = counts[w] / size[c] if w in number else (counts[w] + 0.5) / (rare + 0.5 * (distinct + 1))
+            want, before = want + math.log10(step * word), c
+        assert got[k] == pytest.approx(want, rel=1e-9)
+
+
 def test_class_model_of_odd_rows(spark, odd, none):
     learn = odd.withColumn("train", F.col("doc_id") != 5)
     rows = classlm.score_documents(learn, chunk_tokens=4).collect()
@@ -409,6 +450,19 @@ def test_ties_copies_and_unusable_vectors(spark, block):
     assert [x[2] for x in got if x[0] == 0] == [1, 2, 3, 4, 5] or {x[2] for x in got if x[0] == 0} <= {*range(1, 30), 130, 140}
 
 
+def test_double_vectors_of_any_size(spark):
+    r = random.Random(12)
+    rows = []
+    for i in range(60):
+        size = 10.0 ** r.choice([-200, 0, 200])
+        rows.append((i, [r.gauss(0, 1) * size for _ in range(8)]))
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = [tuple(x) for x in onebit.nearest(df, divisor=10, k=3, epsilon=10.0).orderBy("query_id", "rank").collect()]
+    scaled = [(i, [x / max(map(abs, v)) for x in v]) for i, v in rows]
+    want = sorted(brute_nearest(scaled, 10, 3))
+    assert [g[:3] for g in got] == [w[:3] for w in want] and [g[3] for g in got] == pytest.approx([w[3] for w in want])
+
+
 def test_fewer_candidates_than_asked_and_none(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 1.0])], "vec_id bigint, embedding array<float>")
     assert [(r.query_id, r["rank"], r.vec_id) for r in onebit.nearest(df).collect()] == [(0, 1, 1)]

@@ -66,3 +66,13 @@ def test_no_python_in_the_plan(spark):
     found = queries.QUERIES["op1_url_filter"](spark, "/root/testdata/sf0.001")
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Join" not in plan
+
+
+def test_columns_of_any_name_pass_through(spark):
+    names = ["_best", "_allowed", "_blocked", "_hosts", "row", "key", "verdict", "a.b"]
+    kinds = ", ".join(f"`{n}` string" for n in names)
+    pages = spark.createDataFrame([(1, "http://a.org/x", *names)], f"page_id int, url string, {kinds}")
+    got = U.judge_urls(pages, ["org/"], [], spark.createDataFrame([], "key string"))
+    kept = [c for c in pages.columns if c != "verdict"]
+    assert got.columns == [*kept, "host", "path", "rule", "verdict"]
+    assert tuple(got.first()) == (1, "http://a.org/x", *(n for n in names if n != "verdict"), "a.org", "/x", "org/", "allow")
