@@ -35,7 +35,7 @@ QUERY_BLOCK = 2048
 #: Rows of the index that a task looks at in one step.
 STEP = 2048
 
-_INDEX = "vec_id bigint, vector array<float>, code binary, scale double"
+_INDEX = "vec_id bigint, vector array<double>, code binary, scale double"
 _FOUND = "query_id bigint, vec_id bigint, score double"
 
 
@@ -47,7 +47,7 @@ def rotation(size: int, seed: int = SEED) -> np.ndarray:
 
 def usable(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """``(vec_id, vector)`` of the rows that take part, but for their length."""
-    v = F.col(embedding).cast("array<float>")
+    v = F.col(embedding).cast("array<double>")
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = vectors.select(F.col(vec_id).cast("bigint").alias("vec_id"), v.alias("vector"))
     return rows.where(F.col(vec_id).isNotNull() & v.isNotNull() & finite & F.exists(v, lambda x: x != 0))
@@ -78,7 +78,14 @@ def build_index(vectors: DataFrame, seed: int = SEED) -> tuple[DataFrame, int]:
 
 
 def cosines(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
-    """Exact measures, each row summed alike wherever it stands."""
+    """Exact measures, each row summed alike wherever it stands. Vectors whose squares leave the range of doubles are scaled
+    first, by a power of two, which changes no digit."""
+    def fitting(x: np.ndarray) -> np.ndarray:
+        most = np.abs(x).max(axis=1, keepdims=True)
+        far = (most > 2.0**400) | (most < 2.0**-400)
+        return np.where(far, np.ldexp(x, -np.frexp(most)[1]), x) if far.any() else x
+
+    vectors, query = fitting(vectors), fitting(query[None, :])[0]
     norms = np.sqrt((vectors * vectors).sum(axis=1)) * np.sqrt((query * query).sum())
     return (vectors * query).sum(axis=1) / norms
 
