@@ -185,7 +185,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(model)
     # A row's other columns pass through, so that no join is needed.
     others = [c for c in docs.columns if c.lower() not in ("text", "lang_pred", "score")]
-    rows = docs.select("text", F.struct(*map(column, others), F.lit(True).alias("_row")).alias("row"))
+    rows = docs.select("text", F.struct(F.lit(True).alias("there"), *([F.struct(*map(column, others)).alias("others")] if others else [])).alias("row"))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _judge(sent)
@@ -198,4 +198,4 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
     schema = StructType([*rows.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
     found = arrow_map(rows, judge, schema)
-    return found.select("text", "row.*", "lang_pred", "score").drop("_row")
+    return found.select("text", *(["row.others.*"] if others else []), "lang_pred", "score")

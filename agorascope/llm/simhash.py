@@ -27,7 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import arrow_map, slices, space_words, stored
+from .common import arrow_map, column, slices, space_words, stored
 from .components import components
 
 SHINGLE_WORDS, SEED, DISTANCE = 4, 42, 4
@@ -198,6 +198,7 @@ def first_of_groups(docs: DataFrame, words: int = SHINGLE_WORDS, seed: int = SEE
     least = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("least")
     # Plain equality on two columns, so that the join's partitions serve the last step too.
     key = lambda c: F.coalesce(c.cast("bigint"), F.lit(-(1 << 63)))
-    first = groups.groupBy("component").agg(least).select(key(F.col("least.doc_id")).alias("__key"), F.col("least.text_hash").alias("__hash"))
-    keyed = docs.withColumns({"__key": key(F.col("doc_id")), "__hash": F.xxhash64("text")})
-    return keyed.join(first, ["__key", "__hash"], "left_semi").dropDuplicates(["__key", "__hash"]).drop("__key", "__hash")
+    first = groups.groupBy("component").agg(least).select(key(F.col("least.doc_id")).alias("key"), F.col("least.text_hash").alias("hash"))
+    # Whole rows as one value, so that no name of theirs meets the keys'.
+    keyed = docs.select(key(F.col("doc_id")).alias("key"), F.xxhash64("text").alias("hash"), F.struct(*map(column, docs.columns)).alias("row"))
+    return keyed.join(first, ["key", "hash"], "left_semi").dropDuplicates(["key", "hash"]).select("row.*")

@@ -15,7 +15,7 @@ its own for the keys of its share. All steps are expressions and aggregates of D
 
 Defined cases: a URL that is null or has no ``://`` has an empty host and path and no listed key; an
 empty list or table gives no match; repeated rows stay as rows; columns other than the named ones
-pass through, and their names may be any but those added.
+pass through, whatever their names; those added replace columns of their names.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import ascii_lower, stored
+from .common import ascii_lower, column, stored
 
 #: Bits of the filters that one plan carries as constants (8 MB).
 LITERAL_BITS = 1 << 26
@@ -179,8 +179,12 @@ def judge_urls(pages: DataFrame, allow: list[str], block: list[str], blocked_hos
     spark = pages.sparkSession
     frame = lambda keys: spark.createDataFrame([(k,) for k in keys], "key string")
     lists = {"_allowed": frame(allow), "_blocked": frame(block), "_hosts": blocked_hosts}
-    found = listed_matches(with_host_and_path(pages, url), lists)
+    # Whole rows as one value, so that no name of theirs meets those of the steps.
+    others = [c for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict")]
+    rows = pages.select(column(url).alias("url"), F.struct(*map(column, others)).alias("row"))
+    found = listed_matches(with_host_and_path(rows, "url"), lists)
     ranked = lambda name, verdict: F.transform(name, lambda k: F.struct(F.length(k).alias("n"), k.alias("rule"), F.lit(verdict).alias("verdict")))
     best = F.array_max(F.concat(ranked("_allowed", "allow"), ranked("_blocked", "block")))
     listed = F.when(F.size("_hosts") > 0, "block").otherwise("allow")
-    return found.withColumn("_best", best).withColumns({"rule": F.col("_best.rule"), "verdict": F.coalesce("_best.verdict", listed)}).drop("_best", *lists)
+    judged = found.withColumn("_best", best)
+    return judged.select("row.*", "host", "path", F.col("_best.rule").alias("rule"), F.coalesce("_best.verdict", listed).alias("verdict"))

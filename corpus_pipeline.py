@@ -58,8 +58,10 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     key = F.xxhash64("doc_id", "text")
     keyed = docs.select(key.alias("doc_id"), "text")
     hits = decontaminate.judged(decontaminate.benchmark_hits(keyed, read(spark, sf_dir, "benchmark")), CONTAMINATED_SHARE)
-    listed = hits.where("contaminated").select(F.col("doc_id").alias("_row")).distinct()
-    return docs.join(listed, key == F.col("_row"), "left_anti")
+    listed = hits.where("contaminated").select(F.col("doc_id").alias("key")).distinct()
+    # Whole rows as one value, so that no name of theirs meets the key's.
+    rows = docs.select(key.alias("key"), F.struct(*map(column, docs.columns)).alias("row"))
+    return rows.join(listed, "key", "left_anti").select("row.*")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
