@@ -54,7 +54,8 @@ BREAK = b"\xff"
 _PIECES = bytes(255 if b in b".,;:!?\n\x0b\x0c\r" else b for b in range(256))
 
 _CHUNKS = "chunk bigint, lang string, size int, state binary, words array<string>, counts array<bigint>, n bigint"
-_PAIRS = "chunk bigint, place int, a bigint, b bigint, n bigint"
+#: What neighbouring rows share comes first, so that it costs the shuffle little.
+_PAIRS = "chunk bigint, n bigint, a bigint, b bigint"
 _STATES = "chunk bigint, size int, state binary, ids array<bigint>"
 
 
@@ -119,7 +120,7 @@ def tokenise(docs: DataFrame, chunk_tokens: int = CHUNK_TOKENS) -> DataFrame:
 
 
 def _frequent(rows: DataFrame, keys: list[str], least: int, label: str) -> DataFrame:
-    """The rows ``(chunk, place, *keys, n)`` whose key's counts reach ``least`` together, with that sum ``f`` and the key's number ``id``.
+    """The rows, without their counts ``n``, of keys whose counts reach ``least`` together, with that sum ``f`` and the key's number ``id``.
 
     A key has one row for each chunk at most, so its rows meet in one shuffle, and what is
     found goes back to the chunks without another one by the key. Numbers are those of a key's first row in its
@@ -128,7 +129,7 @@ def _frequent(rows: DataFrame, keys: list[str], least: int, label: str) -> DataF
     whole = Window.partitionBy(*keys)
     numbered = rows.repartition(*keys).withColumn("row", F.monotonically_increasing_id())
     summed = numbered.withColumns({"f": F.sum("n").over(whole), "id": F.min("row").over(whole)})
-    return stored(summed.where(F.col("f") >= least).select("chunk", "place", *keys, "f", "id", (F.col("row") == F.col("id")).alias("first")), label)
+    return stored(summed.where(F.col("f") >= least).select(*[c for c in rows.columns if c != "n"], "f", "id", (F.col("row") == F.col("id")).alias("first")), label)
 
 
 def _overlaps(state: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -138,7 +139,7 @@ def _overlaps(state: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _pairs(states: DataFrame) -> DataFrame:
-    """``(chunk, place, a, b, n)``: each chunk's distinct overlapping pairs, their place among them, and their count."""
+    """``(chunk, n, a, b)``: each chunk's distinct overlapping pairs, by the numbers of their phrases, and their count."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in slices(batches, 1):
@@ -147,15 +148,15 @@ def _pairs(states: DataFrame) -> DataFrame:
             codes, n = np.unique(_overlaps(state)[1], return_counts=True)
             for at in range(0, len(codes), STEP):
                 part = codes[at : at + STEP]
-                values = [np.full(len(part), row.column("chunk")[0].as_py()), np.arange(at, at + len(part), dtype=np.int32), ids[part >> 32], ids[part & 0xFFFFFFFF], n[at : at + STEP]]
-                yield pa.record_batch([pa.array(v) for v in values], ["chunk", "place", "a", "b", "n"])
+                values = [np.full(len(part), row.column("chunk")[0].as_py()), n[at : at + STEP], ids[part >> 32], ids[part & 0xFFFFFFFF]]
+                yield pa.record_batch([pa.array(v) for v in values], ["chunk", "n", "a", "b"])
 
     return arrow_map(states, emit, _PAIRS)
 
 
-def _places(rows: DataFrame) -> DataFrame:
-    """``(chunk, known)``: the frequent places of each chunk with their numbers; as many as it has tokens at most."""
-    return rows.groupBy("chunk").agg(F.collect_list(F.struct("place", "id")).alias("known"))
+def _known(found: DataFrame, *names: str) -> DataFrame:
+    """``(chunk, known)``: the frequent phrases of each chunk with their numbers; as many as it has tokens at most."""
+    return found.groupBy("chunk").agg(F.collect_list(F.struct(*names, "id")).alias("known"))
 
 
 def _advance(chunks: DataFrame, known: DataFrame, pairs: bool) -> DataFrame:
@@ -164,13 +165,19 @@ def _advance(chunks: DataFrame, known: DataFrame, pairs: bool) -> DataFrame:
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in slices(batches, 1):
             state = _unpack(row.column("state")[0].as_py(), row.column("size")[0].as_py())
-            places, ids = (row.column("known").flatten().field(f).to_numpy() for f in ("place", "id"))
+            known = row.column("known").flatten()
+            ids = known.field("id").to_numpy()
             if pairs:
                 at, codes = _overlaps(state)
                 distinct, of = np.unique(codes, return_inverse=True)
+                shorter = row.column("ids").flatten().to_numpy()
+                order = np.argsort(shorter)
+                a, b = (order[np.searchsorted(shorter, known.field(side).to_numpy(), sorter=order)] for side in ("a", "b"))
+                places = np.searchsorted(distinct, a << 32 | b)
             else:
                 at = np.flatnonzero(state >= 0)
                 of, distinct = state[at], np.arange(int(state.max()) + 1)
+                places = known.field("place").to_numpy()
             number = np.full(len(distinct), -1, np.int32)
             number[places] = np.arange(len(places))
             new = np.full(len(state), -1, np.int32)
@@ -178,7 +185,7 @@ def _advance(chunks: DataFrame, known: DataFrame, pairs: bool) -> DataFrame:
             columns = [row.column("chunk"), row.column("size"), pa.array([_pack(new)]), pa.ListArray.from_arrays([0, len(ids)], pa.array(ids, pa.int64()))]
             yield pa.record_batch(columns, ["chunk", "size", "state", "ids"])
 
-    return stored(arrow_map(chunks.select("chunk", "size", "state").join(known, "chunk"), step, _STATES), "states")
+    return stored(arrow_map(chunks.select("chunk", "size", "state", *(["ids"] if pairs else [])).join(known, "chunk"), step, _STATES), "states")
 
 
 def count_phrases(docs: DataFrame, least: int = LEAST_COUNT, longest: int = LONGEST, chunk_tokens: int = CHUNK_TOKENS) -> tuple[DataFrame, list[DataFrame]]:
@@ -195,7 +202,7 @@ def count_phrases(docs: DataFrame, least: int = LEAST_COUNT, longest: int = LONG
     levels = [found.where("first").select("lang", "phrase", "f", "id")]
     states = chunks
     for length in range(2, longest + 1):
-        states = _advance(states, _places(found), length > 2)
+        states = _advance(states, _known(found, *(("a", "b") if length > 2 else ("place",))), length > 2)
         found = _frequent(_pairs(states), ["a", "b"], least, f"phrases-{length}")
         levels.append(found.where("first").select("a", "b", "f", "id"))
     return totals, levels
