@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import activity as act, engagement as eng, overlap
+from ..operators import activity as act, engagement as eng, overlap, sketches
+from ..session import scratch_dir
 from . import bindings as b
 from .registry import query
 
@@ -101,6 +102,18 @@ def unique_counts(spark, folder):
     return act.unique_counts(b.activity(spark, folder), {"unique_comments": "id", "unique_authors": "author"})
 
 
+@query("sketched_unique_authors", b.with_ctes(b.ACTIVITY) + """
+SELECT community, count(*) AS n_rows, count(DISTINCT author) AS unique_authors, TRUE AS within_error FROM activity GROUP BY 1""")
+def sketched_unique_authors(spark, folder):
+    """Distinct authors over all months, exactly, and whether stored sketches of the months agree within four standard errors."""
+    rows, path = b.activity(spark, folder), scratch_dir(spark, "months")
+    sketches.write_months(sketches.monthly_sketches(rows), path)
+    found = sketches.unique_authors(sketches.read_months(spark, path)).withColumnRenamed("unique_authors", "estimate")
+    exact = rows.groupBy("community").agg(F.count_distinct("author").alias("unique_authors"))
+    near = F.abs(F.col("estimate") - F.col("unique_authors")) <= 4 * sketches.count_error() * F.col("unique_authors") + 1
+    return found.join(exact, "community").select("community", "n_rows", "unique_authors", near.alias("within_error"))
+
+
 @query("top_communities", """
 SELECT source AS community, count(*) AS count FROM documents GROUP BY 1 ORDER BY count DESC, community LIMIT 10""")
 def top_communities(spark, folder):
