@@ -40,6 +40,29 @@ def write_by_month(df: DataFrame, path: str, day: str = "date", rebalance: bool
     placed.write.mode("overwrite").partitionBy("yyyy", "mm").parquet(path)
 
 
+def write_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int) -> DataFrame:
+    """Write a table in buckets of ``key``, ordered by it, one file each, and return it from the catalog.
+
+    Tables with the same key and number of buckets are joined and grouped by it where they lie. Rows
+    are dealt once, as the buckets are; choose their number so that one fits a task.
+    """
+    dealt = df.repartition(buckets, key)
+    dealt.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
+def read_bucketed(spark: SparkSession, name: str, path: str, schema: StructType, key: str, buckets: int) -> DataFrame:
+    """A table that ``write_bucketed`` wrote, in a session whose catalog doesn't know it yet."""
+    quoted = lambda n: "`" + n.replace("`", "``") + "`"
+    columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
+    place = path.replace("'", "\\'")
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {quoted(name)} ({columns}) USING parquet "
+        f"CLUSTERED BY ({quoted(key)}) SORTED BY ({quoted(key)}) INTO {int(buckets)} BUCKETS LOCATION '{place}'"
+    )
+    return spark.table(quoted(name))
+
+
 def export_csv(df: DataFrame, path: str) -> None:
     """Write a small aggregate as one CSV file with a header. Not for row-level tables."""
     df.repartition(1).write.mode("overwrite").option("header", True).csv(path)
