@@ -119,8 +119,10 @@ def tokenise(docs: DataFrame, chunk_tokens: int = CHUNK_TOKENS) -> DataFrame:
     return stored(arrow_map(rows, build, _CHUNKS), "chunks")
 
 
-def _frequent(rows: DataFrame, keys: list[str], least: int, label: str) -> DataFrame:
-    """The rows, without their counts ``n``, of keys whose counts reach ``least`` together, with that sum ``f`` and the key's number ``id``.
+def _frequent(rows: DataFrame, keys: list[str], back: list[str], least: int, label: str) -> DataFrame:
+    """The rows of keys whose counts ``n`` reach ``least`` together: ``chunk, *back``, and the key's number ``id``.
+
+    The first row of a key has the key and the sum ``f``, too; in all others these are null, unless they are to go back.
 
     A key has one row for each chunk at most, so its rows meet in one shuffle, and what is
     found goes back to the chunks without another one by the key. Numbers are those of a key's first row in its
@@ -129,7 +131,9 @@ def _frequent(rows: DataFrame, keys: list[str], least: int, label: str) -> DataF
     whole = Window.partitionBy(*keys)
     numbered = rows.repartition(*keys).withColumn("row", F.monotonically_increasing_id())
     summed = numbered.withColumns({"f": F.sum("n").over(whole), "id": F.min("row").over(whole)})
-    return stored(summed.where(F.col("f") >= least).select(*[c for c in rows.columns if c != "n"], "f", "id", (F.col("row") == F.col("id")).alias("first")), label)
+    first = F.col("row") == F.col("id")
+    once = [F.when(first, F.col(c)).alias(c) for c in (*keys, "f") if c not in back]
+    return stored(summed.where(F.col("f") >= least).select("chunk", *back, *once, "id", first.alias("first")), label)
 
 
 def _overlaps(state: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -198,12 +202,12 @@ def count_phrases(docs: DataFrame, least: int = LEAST_COUNT, longest: int = LONG
     totals = chunks.groupBy("lang").agg(F.sum("n").alias("n"))
     each = F.posexplode(F.arrays_zip("words", "counts")).alias("place", "word")
     words = chunks.select("chunk", "lang", each).where("place > 0").select("chunk", "lang", (F.col("place") - 1).alias("place"), F.col("word.words").alias("phrase"), F.col("word.counts").alias("n"))
-    found = _frequent(words, ["lang", "phrase"], least, "words")
+    found = _frequent(words, ["lang", "phrase"], ["place"], least, "words")
     levels = [found.where("first").select("lang", "phrase", "f", "id")]
     states = chunks
     for length in range(2, longest + 1):
         states = _advance(states, _known(found, *(("a", "b") if length > 2 else ("place",))), length > 2)
-        found = _frequent(_pairs(states), ["a", "b"], least, f"phrases-{length}")
+        found = _frequent(_pairs(states), ["a", "b"], ["a", "b"], least, f"phrases-{length}")
         levels.append(found.where("first").select("a", "b", "f", "id"))
     return totals, levels
 
