@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ..functions.binding import as_rows, named
 from ..functions.numeric import percent
 from .skew import grouped_median
 
@@ -59,8 +60,7 @@ RANKED = ("score_mean", "score_median", "num_comments_mean", "posts_per_day", "t
 
 def rankings(metrics: DataFrame, k: int = 10, ranked: Sequence[str] = RANKED, community: str = "community") -> DataFrame:
     """The k leading communities per metric, ties by name."""
-    pairs = ", ".join(f"'{m}', cast(`{m}` as double)" for m in ranked)
-    long = metrics.select(community, F.expr(f"stack({len(ranked)}, {pairs}) as (metric, value)"))
+    long = metrics.select(community, as_rows(("metric", "value"), [(F.lit(m), named(m).cast("double")) for m in ranked]))
     order = Window.partitionBy("metric").orderBy(F.desc("value"), community)
     return long.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
@@ -111,7 +111,7 @@ def summary(metrics: DataFrame, distribution: DataFrame, users: DataFrame, commu
         leader("num_comments_median"),
     ).withColumn("spread", spread).withColumn("people", people)
 
-    def named(by: str, digits: int) -> str:
+    def led(by: str, digits: int) -> str:
         return f"format_string('%s (%.{digits}f)', top_{by}.name, -top_{by}.below)"
 
     values = {
@@ -124,8 +124,8 @@ def summary(metrics: DataFrame, distribution: DataFrame, users: DataFrame, commu
         "Overall Median Score": "format_string('%.2f', spread.median_score)",
         "Overall Mean Comments": "format_string('%.2f', spread.mean_comments)",
         "Overall Median Comments": "format_string('%.2f', spread.median_comments)",
-        "Top Community (Mean Score)": named("score_mean", 2),
-        "Top Community (Median Comments)": named("num_comments_median", 1),
+        "Top Community (Mean Score)": led("score_mean", 2),
+        "Top Community (Median Comments)": led("num_comments_median", 1),
     }
     pairs = ", ".join(f"'{label}', {value}" for label, value in values.items())
     return figures.select(F.expr(f"stack({len(values)}, {pairs}) as (metric, value)"))

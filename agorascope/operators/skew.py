@@ -37,7 +37,7 @@ def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> Dat
     HOT_KEYS_MAX rows by construction, so it may be broadcast. A key the sketch misses costs
     balance, never rows.
     """
-    sketch = df.select(key).agg(F.expr(f"approx_top_k(`{key}`, {HOT_KEYS_MAX}, {TRACKED})").alias("top"))
+    sketch = df.agg(F.call_function("approx_top_k", named(key), F.lit(HOT_KEYS_MAX), F.lit(TRACKED)).alias("top"))
     entries = sketch.select(F.explode("top").alias("entry")).where(F.col("entry.count") > rows_per_task)
     return entries.select(
         F.col("entry.item").alias(key), F.ceil(F.col("entry.count") / rows_per_task).cast("int").alias("salts")

@@ -253,7 +253,7 @@ def community_cluster_share(spark, folder):
 
 
 def _clustered(spark, folder, k=4):
-    vectors = _vectors(spark, folder).persist()
+    vectors = _vectors(spark, folder)
     model = clusters.fit_kmeans(clusters.weighted_points(vectors, PAINS), k)
     return clusters.assign_clusters(vectors, PAINS, model)
 
