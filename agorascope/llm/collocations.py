@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import arrow_map, slices, stored
+from .common import arrow_map, discard, slices, stored
 
 UNKNOWN = "und"
 LEAST_COUNT = 30
@@ -199,16 +199,18 @@ def count_phrases(docs: DataFrame, least: int = LEAST_COUNT, longest: int = LONG
     first words but one and their last words but one.
     """
     chunks = tokenise(docs, chunk_tokens)
-    totals = chunks.groupBy("lang").agg(F.sum("n").alias("n"))
+    totals = stored(chunks.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
     each = F.posexplode(F.arrays_zip("words", "counts")).alias("place", "word")
     words = chunks.select("chunk", "lang", each).where("place > 0").select("chunk", "lang", (F.col("place") - 1).alias("place"), F.col("word.words").alias("phrase"), F.col("word.counts").alias("n"))
     found = _frequent(words, ["lang", "phrase"], ["place"], least, "words")
-    levels = [found.where("first").select("lang", "phrase", "f", "id")]
+    levels = [stored(found.where("first").select("lang", "phrase", "f", "id"), "words")]
     states = chunks
     for length in range(2, longest + 1):
-        states = _advance(states, _known(found, *(("a", "b") if length > 2 else ("place",))), length > 2)
+        before, states = states, _advance(states, _known(found, *(("a", "b") if length > 2 else ("place",))), length > 2)
+        discard(before, found)
         found = _frequent(_pairs(states), ["a", "b"], ["a", "b"], least, f"phrases-{length}")
-        levels.append(found.where("first").select("a", "b", "f", "id"))
+        levels.append(stored(found.where("first").select("a", "b", "f", "id"), f"counts-{length}"))
+    discard(states, found)
     return totals, levels
 
 

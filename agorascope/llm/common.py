@@ -83,6 +83,17 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*frames: DataFrame) -> None:
+    """Delete the tables in the scratch folder that frames read, once what was made of them is written."""
+    for frame in frames:
+        spark = frame.sparkSession
+        scratch = scratch_dir(spark, "").rsplit("/", 1)[0]
+        for folder in {file.rsplit("/", 1)[0] for file in frame.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            if scratch.split(":", 1)[-1].strip("/") in folder:
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
     """The batches, cut to at most so many rows each."""
     for batch in batches:
