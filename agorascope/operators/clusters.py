@@ -10,12 +10,13 @@ from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import text as tx
 from ..functions.binding import add_kept
 from ..functions.numeric import percent
 from ..functions.valence import ValenceLexicon, valence
+from ..session import scratch_dir
 from .mentions import Dictionary
 from .resampling import exact_sample
 
@@ -36,13 +37,31 @@ def pain_point_vectors(
     return negative.select(*keep, "sentiment", "__flags.*")
 
 
-def weighted_points(vectors: DataFrame, columns: Sequence[str]) -> DataFrame:
+def _rows(weight: str | None) -> Column:
+    """How many rows of the texts a row stands for."""
+    return F.lit(1) if weight is None else F.col(weight)
+
+
+def weighted_points(vectors: DataFrame, columns: Sequence[str], weight: str | None = None) -> DataFrame:
     """Distinct 0/1 vectors with the number of rows having each: at most 2**len(columns) rows,
-    whatever the number of texts, and the same clusters as the rows themselves."""
-    points = vectors.groupBy(*columns).agg(F.count(F.lit(1)).cast("double").alias("weight"))
+    whatever the number of texts, and the same clusters as the rows themselves. They lie in one
+    partition in order, so that sums over them repeat to the last digit."""
+    points = vectors.groupBy(*columns).agg(F.sum(_rows(weight)).cast("double").alias("weight")).repartition(1).sortWithinPartitions(*columns)
     return VectorAssembler(inputCols=list(columns), outputCol="features").transform(points)
 
 
+def counted_vectors(vectors: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Distinct 0/1 vectors of each group with the number of rows having each, as ``weight``, written to the scratch folder.
+
+    Texts are scored once for this table, and the fit and the shares read it instead: at most
+    2**len(columns) rows a group, whatever the number of texts.
+    """
+    path = scratch_dir(vectors.sparkSession, "vectors")
+    counted = vectors.groupBy(*by, *columns).agg(F.count(F.lit(1)).alias("weight"))
+    counted.write.parquet(path)
+    return vectors.sparkSession.read.schema(counted.schema).parquet(path)
+
+
 def fit_kmeans(points: DataFrame, k: int, seed: int = 42) -> KMeansModel:
     return KMeans(k=k, seed=seed, featuresCol="features", weightCol="weight", predictionCol="cluster").fit(points)
 
@@ -87,21 +106,24 @@ def centroids(vectors: DataFrame, columns: Sequence[str], k: int, seed: int = 42
     return vectors.sparkSession.createDataFrame(rows, "cluster int, pain_point string, value double")
 
 
-def community_share(clustered: DataFrame, clusters: Sequence[int], community: str = "community", cluster: str = "cluster") -> DataFrame:
-    """Percentage of each community's rows per cluster, one column per cluster."""
-    total = F.count(F.lit(1))
+def community_share(
+    clustered: DataFrame, clusters: Sequence[int], community: str = "community", cluster: str = "cluster", weight: str | None = None,
+) -> DataFrame:
+    """Percentage of each community's rows per cluster, one column per cluster. Rows may stand for as many as ``weight`` says."""
+    total = F.sum(_rows(weight))
     return clustered.groupBy(community).agg(*[
-        percent(F.count_if(F.col(cluster) == c), total).alias(f"cluster_{c}_pct") for c in clusters
+        percent(F.sum(F.when(F.col(cluster) == c, _rows(weight)).otherwise(0)), total).alias(f"cluster_{c}_pct") for c in clusters
     ])
 
 
 def assign_clusters(vectors: DataFrame, columns: Sequence[str], model: KMeansModel) -> DataFrame:
     """Each row with the ``cluster`` of its vector. Only distinct vectors are predicted, at most
     2**len(columns) of them, and sent to the rows."""
-    points = model.transform(weighted_points(vectors, columns)).select(*columns, "cluster")
-    return vectors.join(F.broadcast(points), list(columns))
+    distinct = VectorAssembler(inputCols=list(columns), outputCol="features").transform(vectors.select(*columns).distinct())
+    return vectors.join(F.broadcast(model.transform(distinct).select(*columns, "cluster")), list(columns))
 
 
-def cluster_sizes(clustered: DataFrame, columns: Sequence[str], cluster: str = "cluster") -> DataFrame:
+def cluster_sizes(clustered: DataFrame, columns: Sequence[str], cluster: str = "cluster", weight: str | None = None) -> DataFrame:
     """Rows of each cluster and the share of them with each column's flag."""
-    return clustered.groupBy(cluster).agg(F.count(F.lit(1)).alias("size"), *[F.avg(c).alias(c) for c in columns])
+    size = F.sum(_rows(weight))
+    return clustered.groupBy(cluster).agg(size.alias("size"), *[(F.sum(F.col(c) * _rows(weight)) / size).alias(c) for c in columns])

@@ -253,16 +253,17 @@ def community_cluster_share(spark, folder):
 
 
 def _clustered(spark, folder, k=4):
-    vectors = _vectors(spark, folder)
-    model = clusters.fit_kmeans(clusters.weighted_points(vectors, PAINS), k)
-    return clusters.assign_clusters(vectors, PAINS, model)
+    """Distinct vectors of each community with their cluster and the number of texts, ``weight``."""
+    counted = clusters.counted_vectors(_vectors(spark, folder), PAINS, ["community"])
+    model = clusters.fit_kmeans(clusters.weighted_points(counted, PAINS, "weight"), k)
+    return clusters.assign_clusters(counted, PAINS, model)
 
 
 @query("cluster_flag_means", VECTORS + f"""
 SELECT count(*) AS n_vectors, {', '.join(f"round(avg({p}), 6) AS {p}" for p in PAINS)} FROM vectors""")
 def cluster_flag_means(spark, folder):
     """Means of the flags over all vectors, from the sizes and centres of fitted clusters."""
-    sizes = clusters.cluster_sizes(_clustered(spark, folder), PAINS)
+    sizes = clusters.cluster_sizes(_clustered(spark, folder), PAINS, weight="weight")
     total = F.sum("size")
     return b.rounded(sizes.agg(total.alias("n_vectors"), *[(F.sum(F.col("size") * F.col(p)) / total).alias(p) for p in PAINS]))
 
@@ -270,7 +271,7 @@ def cluster_flag_means(spark, folder):
 @query("community_fitted_cluster_share")
 def community_fitted_cluster_share(spark, folder):
     """Shares of each community's vectors in fitted clusters."""
-    return clusters.community_share(_clustered(spark, folder), range(4))
+    return clusters.community_share(_clustered(spark, folder), range(4), weight="weight")
 
 
 # --- fitted models, at the library's defaults ------------------------------------------------------
