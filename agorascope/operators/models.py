@@ -152,19 +152,24 @@ def compared_regressions(posts: DataFrame, extra: Sequence[str], key: str = "id"
     )
 
 
-def term_weights(texts: DataFrame, key: str = "id", text: str = "text", min_doc_freq: int = 2) -> DataFrame:
+#: Texts whose terms one task counts.
+TEXTS_PER_TASK = 5_000
+
+
+def term_weights(texts: DataFrame, key: str = "id", text: str = "text", min_doc_freq: int = 2, texts_per_task: int = TEXTS_PER_TASK) -> DataFrame:
     """TF-IDF by term instead of by hashed slot: key, term, n, weight. Terms in fewer texts weigh 0, as in Spark ML.
 
     Texts are shuffled by key, once, so that terms are counted where a text lies and texts are moved instead of
-    their terms. Counts then meet the weights of the terms, of which as many as a corpus has are no broadcast:
+    their terms; a task takes so many that its counts are held without spilling. Counts then meet the weights of the terms, of which as many as a corpus has are no broadcast:
     these are the hashed side of the join, so that counts needn't be sorted.
     """
     terms = F.filter(F.split(F.lower("__text"), r"\s+"), lambda t: t != "")
-    said = texts.select(named(key), named(text).alias("__text")).repartition(named(key)).select(named(key), F.explode(terms).alias("term"))
+    total = texts.count()
+    tasks = max(texts.sparkSession.sparkContext.defaultParallelism, -(-total // texts_per_task))
+    said = texts.select(named(key), named(text).alias("__text")).repartition(tasks, named(key)).select(named(key), F.explode(terms).alias("term"))
     counted = said.groupBy(named(key), "term").agg(F.count(F.lit(1)).alias("n"))
     found = counted.groupBy("term").agg(F.count(F.lit(1)).alias("texts"))
-    total = texts.agg(F.count(F.lit(1)).alias("total")).scalar()
-    idf = F.when(F.col("texts") >= min_doc_freq, F.log((total + 1) / (F.col("texts") + 1))).otherwise(0.0)
+    idf = F.when(F.col("texts") >= min_doc_freq, F.log(F.lit(total + 1) / (F.col("texts") + 1))).otherwise(0.0)
     weights = found.select("term", idf.alias("idf")).hint("shuffle_hash")
     return counted.join(weights, "term").select(named(key), "term", "n", (F.col("n") * F.col("idf")).alias("weight"))
 
