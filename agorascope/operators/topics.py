@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import LDA
 from pyspark.ml.feature import CountVectorizerModel, StopWordsRemover, Tokenizer
@@ -42,31 +43,44 @@ def fit_topics(
     """An LDA model per period. With ``train`` below 1, the other texts, by key, judge the model.
 
     What comes back is bounded by topics and vocabulary. A period without words of its own has no topics.
+    The texts are made once and kept at hand: vocabularies and counts of all periods come from one pass each,
+    and the fits and their judgement read what is kept.
     """
+    rows = texts.where(F.col("period").isin(list(periods))).select("period", key, F.coalesce("text", F.lit("")).alias("text"))
+    kept = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _fit_periods(kept, periods, key, k, iterations, vocabulary, min_df, all_stop_words(stop_words), seed, train)
+    finally:
+        kept.unpersist()
+
+
+def _fit_periods(
+    rows: DataFrame, periods: Sequence[str], key: str, k: int, iterations: int, vocabulary: int, min_df: int, stop_words: Sequence[str],
+    seed: int, train: float,
+) -> list[PeriodTopics]:
+    all_learned, all_judged = split_rows(rows, key, train, seed) if train < 1 else (rows, rows.where("false"))
+    sizes, held_sizes = ({r.period: r["count"] for r in part.groupBy("period").count().collect()} for part in (all_learned, all_judged))
+    # At most ``vocabulary`` words a period, in an order of their own, so that models repeat.
+    found = period_vocabulary(all_learned, vocabulary, min_df, stop_words).orderBy("period", F.desc("occurrences"), "term").collect()
     out = []
     for period in periods:
-        rows = texts.where(F.col("period") == period).select(key, F.coalesce("text", F.lit("")).alias("text"))
-        learned, judged = split_rows(rows, key, train, seed) if train < 1 else (rows, rows.where("false"))
-        found = period_vocabulary(learned.withColumn("period", F.lit(period)), vocabulary, min_df, all_stop_words(stop_words))
-        # At most ``vocabulary`` words, in an order of their own, so that models repeat.
-        words = [r.term for r in found.orderBy(F.desc("occurrences"), "term").collect()]
+        words = [r.term for r in found if r.period == period]
+        documents, held = sizes.get(period, 0), held_sizes.get(period, 0)
         if not words:
-            out.append(PeriodTopics(period, [], np.zeros((0, 0)), learned.count(), judged.count(), None))
+            out.append(PeriodTopics(period, [], np.zeros((0, 0)), documents, held, None))
             continue
+        learned, judged = (part.where(F.col("period") == period).select(key, "text") for part in (all_learned, all_judged))
         counted = PipelineModel([
             Tokenizer(inputCol="text", outputCol="words"),
             CountVectorizerModel.from_vocabulary(words, inputCol="words", outputCol="features"),
         ])
         model = fit([LDA(k=k, maxIter=iterations, featuresCol="features", seed=seed)], counted.transform(learned).select(key, "features"), key).stages[-1]
         matrix = model.topicsMatrix().toArray().T
-        held = judged.count()
         perplexity = None
         if held:
             value = float(model.logPerplexity(counted.transform(judged)))
             perplexity = value if np.isfinite(value) else None
-        out.append(PeriodTopics(
-            period, words, matrix / matrix.sum(axis=1, keepdims=True), learned.count(), held, perplexity,
-        ))
+        out.append(PeriodTopics(period, words, matrix / matrix.sum(axis=1, keepdims=True), documents, held, perplexity))
     return out
 
 
