@@ -143,9 +143,13 @@ def fit_forest(forest: Estimator, rows: DataFrame, key: str, count: int, cells_p
     """
     features, label, total = forest.getFeaturesCol(), forest.getLabelCol(), forest.getNumTrees()
     spark = rows.sparkSession
+    cores = spark.sparkContext.defaultParallelism
     slots = rows.schema[features].metadata["ml_attr"]["num_attrs"]
     tasks = max(1, -(-count * slots // cells_per_task))
-    parts = max(1, min(total // 2, -(-spark.sparkContext.defaultParallelism // tasks)))
+    if tasks > cores:
+        # Full rounds of tasks.
+        tasks = -(-tasks // cores) * cores
+    parts = max(1, min(total // 2, -(-cores // tasks)))
     group = forest.getMaxMemoryInMB() if parts == 1 else min(forest.getMaxMemoryInMB(), GROUP_MB * tasks)
     # Seeds lie apart, since Spark adds a partition's number to them.
     smaller = [
@@ -285,7 +289,8 @@ def binary_report(predictions: DataFrame, label: str) -> DataFrame:
     scored = predictions.select(
         label, F.col("prediction").cast("int").alias("prediction"), vector_to_array(F.col("rawPrediction"))[1].alias("__score")
     )
-    kept = scored.persist(StorageLevel.MEMORY_AND_DISK)
+    # A few numbers a row, read several times: dealt to the cores, not left in one task for each that scored texts.
+    kept = scored.repartition(predictions.sparkSession.sparkContext.defaultParallelism).persist(StorageLevel.MEMORY_AND_DISK)
     metrics = evaluation.classification_metrics(kept, label, "prediction", "__score")
     row = metrics.first()
     kept.unpersist()

@@ -281,13 +281,17 @@ def _featured(spark, folder):
     return models.content_time_features(b.texts(spark, folder))
 
 
-def _featured_early(spark, folder):
+def _with_early(spark, folder, featured):
     """Texts as posts with the lines of the order of the same number as comments, made from one
     hour before the post to four hours after it."""
-    opened = _featured(spark, folder).withColumn("link_id", b.link("id"))
+    opened = featured.withColumn("link_id", b.link("id"))
     return early.early_comment_features(opened, b.text_comments(spark, folder), spread=("id",))
 
 
+def _featured_early(spark, folder):
+    return _with_early(spark, folder, _featured(spark, folder))
+
+
 @query("early_features_of_texts", b.with_ctes(b.TEXTS, b.TEXT_COMMENTS) + """
 , early AS (
   SELECT t.id, count(c.id) AS n, avg(c.score) AS mean, max(c.score) AS most, avg(c.length) AS length, stddev_samp(c.score) AS deviation
@@ -373,7 +377,9 @@ def viral_classifier_content(spark, folder):
 @query("viral_classifier_early")
 def viral_classifier_early(spark, folder):
     extra = ["early_comment_count", "early_comment_avg_score", "early_comment_score_std"]
-    _, scored = models.viral_classifier(_viral_texts(_featured_early(spark, folder)), extra=extra, communities=b.SOURCES)
+    # The label takes passes over the texts, which needn't meet the comments for it.
+    labelled = _with_early(spark, folder, _viral_texts(_featured(spark, folder)))
+    _, scored = models.viral_classifier(labelled, extra=extra, communities=b.SOURCES)
     return models.binary_report(scored, "is_viral")
 
 

@@ -7,7 +7,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
 
-from agorascope.operators import models
+from agorascope.operators import evaluation, models
+from agorascope.plans import modelling
 
 
 def _rows(spark, n=400):
@@ -60,3 +61,25 @@ def test_many_cells_are_one_forest_over_more_tasks(spark, monkeypatch):
     forest = RandomForestRegressor(labelCol="y", numTrees=4, maxDepth=2, seed=42)
     assert models.fit_forest(forest, rows, "id", 400, cells_per_task=50).getNumTrees == 4
     assert [s[:3] for s in seen] == [(16, 4, 42)]
+
+
+def test_scored_rows_are_kept_in_as_many_tasks_as_cores(spark, monkeypatch):
+    seen, metrics = [], evaluation.classification_metrics
+    monkeypatch.setattr(evaluation, "classification_metrics", lambda kept, *args: seen.append(kept.rdd.getNumPartitions()) or metrics(kept, *args))
+    rows = _rows(spark)
+    scored = models.fit(_stages(RandomForestClassifier(labelCol="y", numTrees=4, maxDepth=4, seed=42)), rows, "id", ["features", "y"]).transform(rows.repartition(50))
+    report = models.binary_report(scored, "y").first()
+    assert seen == [spark.sparkContext.defaultParallelism] and report.support == 400 and report.auc_roc == 1
+
+
+def test_viral_label_is_found_without_the_comments(spark, rows, monkeypatch):
+    folder, seen = "/root/testdata/sf0.001", []
+    label = modelling.ev.viral_label
+    monkeypatch.setattr(modelling.ev, "viral_label", lambda df: seen.append(df.columns) or label(df))
+    monkeypatch.setattr(models, "viral_classifier", lambda df, **_: (None, df))
+    monkeypatch.setattr(models, "binary_report", lambda df, _: df)
+    found = modelling.viral_classifier_early(spark, folder)
+    assert not any(c.startswith("early_") for c in seen[0])
+    late = label(modelling._featured_early(spark, folder))
+    columns = ["id", "is_viral", *models.EARLY_NUMBERS]
+    assert rows(found, *columns) == rows(late, *columns)
