@@ -20,6 +20,16 @@ def spark():
     session.stop()
 
 
+@pytest.fixture(scope="module", autouse=True)
+def nothing_stays_cached(request):
+    """What a module's own fixtures cache isn't left to the next one, whose tests look for frames that stay."""
+    yield
+    from pyspark.sql import SparkSession
+
+    if (session := SparkSession.getActiveSession()) is not None:
+        session.catalog.clearCache()
+
+
 @pytest.fixture
 def rows():
     """Rows of a frame as a sorted list of tuples."""
