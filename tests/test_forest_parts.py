@@ -85,3 +85,14 @@ def test_rows_of_a_fit_are_let_go_before_trees_grow(spark, monkeypatch):
     names = [f"c{i}" for i in range(SLOTS)]
     model = models.fit([VectorAssembler(inputCols=names, outputCol="features"), _forest(4)], rows, "id", ["features", "y"])
     assert seen == [0] and model.stages[-1].getNumTrees == 4
+
+
+def test_shuffles_of_many_rows_are_released_after_counting_and_after_the_fit(spark, monkeypatch):
+    released = []
+    monkeypatch.setattr(models, "release", lambda _: released.append(len(spark.sparkContext._jsc.getPersistentRDDs())))
+    spark.catalog.clearCache()
+    rows = spark.range(100).select("id", F.lit(1.0).alias("a"))
+    models.fit([VectorAssembler(inputCols=["a"], outputCol="features")], rows, "id", rows_per_task=200)
+    assert released == []
+    models.fit([VectorAssembler(inputCols=["a"], outputCol="features")], rows, "id", rows_per_task=10)
+    assert released == [0, 0]
